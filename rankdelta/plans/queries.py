@@ -8,29 +8,298 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rankdelta.operators import baseline as B
 from rankdelta.operators import changes as C
+from rankdelta.operators import report as R
 from rankdelta.plans import feeds
 from rankdelta.plans import sqlfrag as S
 from rankdelta.plans.registry import query
+from rankdelta.schema import ReportParams, STATUS_SAME
 
 SNAP = "id, rank, brand, product, old_price, price, captured_at, channel, created_at"
 ANN_DAY = f"{SNAP}, brand_key, product_key, prev_rank_day, delta_day, status_day"
+ANN_WEEK = f"{ANN_DAY}, prev_rank_week, delta_week, status_week"
+CO_COLS = "channel, captured_at, brand, product, brand_key, product_key, prev_rank_day, status_day"
+
+# Report parameters for the event-derived feeds: "$" prices on two channels,
+# even-numbered brands as the watch-list of the half-day feed.
+EVENT_PARAMS = ReportParams(dollar_channels=("click", "purchase"))
+HALF_PARAMS = ReportParams(watch_brands=feeds.watch_brands_even(), dollar_channels=("click", "purchase"))
+
+
+def _with(chain: str, body: str) -> str:
+    return f"WITH {chain}\n{body}"
+
+
+def _sql_list(values) -> str:
+    return ", ".join(S.q(v) for v in values)
 
 
 # ---------------------------------------------------------------------------
 # J1 / J2 / J3 on the one-snapshot-a-day feed (exact offsets)
 # ---------------------------------------------------------------------------
-
-def _daily_sql(feed: str) -> str:
-    return f"""
-WITH c AS {S.preprocess(feed)},
-b AS (SELECT channel, captured_at + INTERVAL 1 DAY AS captured_at, brand_key, product_key, rank AS prev_rank_day FROM c),
-a AS (
-  SELECT c.*, b.prev_rank_day, CAST(b.prev_rank_day - c.rank AS INTEGER) AS delta_day
-  FROM c LEFT JOIN b USING (channel, captured_at, brand_key, product_key))
-SELECT {ANN_DAY.replace('status_day', S.status('delta_day') + ' AS status_day')} FROM a"""
+DAY_CHAIN = S.offset_chain(S.FEED_DAY)
 
 
-@query("rank_change_daily", oracle=_daily_sql(S.FEED_DAY), ids=("J1", "MTH-1", "FMT-1", "STR-6"))
+@query("rank_change_daily", oracle=_with(DAY_CHAIN, f"SELECT {ANN_DAY} FROM ad2"),
+       ids=("J1", "MTH-1", "FMT-1", "STR-6", "PRJ-2"))
 def rank_change_daily(spark, d):
     return C.by_offset(feeds.feed_day(spark, d)).daily()
+
+
+@query("chart_out", oracle=_with(DAY_CHAIN, f"SELECT {CO_COLS} FROM co"), ids=("J2", "SET-2"))
+def chart_out(spark, d):
+    return C.by_offset(feeds.feed_day(spark, d)).chart_outs()
+
+
+@query("rank_change_weekly", oracle=_with(DAY_CHAIN, f"SELECT {ANN_WEEK} FROM aw"), ids=("J3", "FMT-2"))
+def rank_change_weekly(spark, d):
+    return C.by_offset(feeds.feed_day(spark, d)).weekly()
+
+
+_COUNTS_SQL = f"""
+SELECT channel, captured_at,
+       count(CASE WHEN delta_day > 0 THEN 1 END) AS up_count, count(CASE WHEN delta_day < 0 THEN 1 END) AS down_count,
+       count(CASE WHEN status_day = '신규' THEN 1 END) AS new_count,
+       count(CASE WHEN status_day = '{STATUS_SAME}' THEN 1 END) AS keep_count
+FROM ad2 WHERE rank <= 50 GROUP BY channel, captured_at"""
+
+
+@query("movement_counts", oracle=_with(DAY_CHAIN, _COUNTS_SQL), ids=("A2", "FLT-2"))
+def movement_counts(spark, d):
+    return R.movement_counts(C.by_offset(feeds.feed_day(spark, d)).daily())
+
+
+@query("chart_out_counts", oracle=_with(DAY_CHAIN, """
+SELECT channel, captured_at, count(*) AS chart_out_count
+FROM co WHERE prev_rank_day IS NOT NULL AND prev_rank_day <= 50 GROUP BY channel, captured_at"""), ids=("A4",))
+def chart_out_counts(spark, d):
+    return R.chart_out_counts(C.by_offset(feeds.feed_day(spark, d)).chart_outs())
+
+
+@query("chart_out_top5", oracle=_with(DAY_CHAIN, f"""
+SELECT * FROM (
+  SELECT {CO_COLS}, CAST(row_number() OVER (PARTITION BY channel, captured_at
+                         ORDER BY prev_rank_day, brand_key, product_key) AS INTEGER) AS pos
+  FROM co WHERE prev_rank_day IS NOT NULL AND prev_rank_day <= 50) t
+WHERE pos <= 5"""), ids=("W3",))
+def chart_out_top5(spark, d):
+    return R.chart_out_top(C.by_offset(feeds.feed_day(spark, d)).chart_outs())
+
+
+@query("distinct_channels", oracle=_with(DAY_CHAIN, "SELECT DISTINCT channel FROM ad2 WHERE channel IS NOT NULL"),
+       ids=("A5",))
+def distinct_channels(spark, d):
+    return R.distinct_channels(C.by_offset(feeds.feed_day(spark, d)).daily())
+
+
+@query("movement_status", oracle=_with(DAY_CHAIN, """
+SELECT delta_day, status_day, count(*) AS n FROM ad2 GROUP BY delta_day, status_day"""), ids=("FMT-1",))
+def movement_status(spark, d):
+    daily = C.by_offset(feeds.feed_day(spark, d)).daily()
+    return daily.groupBy("delta_day", "status_day").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("no_baseline_status", oracle=_with(DAY_CHAIN, f"""
+SELECT channel, captured_at,
+       EXISTS (SELECT 1 FROM bd WHERE bd.channel = aw.channel AND bd.captured_at = aw.captured_at) AS has_day_baseline,
+       EXISTS (SELECT 1 FROM hw WHERE hw.channel = aw.channel AND hw.captured_at = aw.captured_at) AS has_week_baseline,
+       status_day, status_week, count(*) AS n
+FROM aw GROUP BY ALL"""), ids=("FMT-2",))
+def no_baseline_status(spark, d):
+    cs = C.by_offset(feeds.feed_day(spark, d))
+    day_has = C.baseline_present(cs.base_day).withColumnRenamed("has_baseline", "has_day_baseline")
+    week_has = C.baseline_present(cs.base_week).withColumnRenamed("has_baseline", "has_week_baseline")
+    w = (cs.weekly().join(day_has, C.REPORT_KEY, "left").join(week_has, C.REPORT_KEY, "left")
+         .fillna(False, subset=["has_day_baseline", "has_week_baseline"]))
+    return w.groupBy("channel", "captured_at", "has_day_baseline", "has_week_baseline",
+                     "status_day", "status_week").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# J4 - J8 on the four-slots-a-day feed (resolved baselines)
+# ---------------------------------------------------------------------------
+SLOT_CHAIN = S.resolve_chain(S.FEED_SLOT)
+
+
+@query("latest_snapshot", oracle=_with(SLOT_CHAIN, """
+SELECT l.channel, l.day, l.captured_at, (SELECT count(*) FROM cur WHERE cur.channel = l.channel
+       AND cur.captured_at = l.captured_at) AS n_rows
+FROM latest l"""), ids=("J7", "A1", "FLT-3"))
+def latest_snapshot(spark, d):
+    rows = feeds.feed_slot(spark, d)
+    latest = B.latest_per_day(rows)
+    cur = C.by_resolution(rows)[0].current
+    n = cur.groupBy(*C.REPORT_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
+    return latest.join(n, C.REPORT_KEY, "left").fillna(0, subset=["n_rows"])
+
+
+def _requests_both(rows):
+    latest = B.latest_per_day(rows)
+    cat = B.catalogue(rows)
+    reqs = [B.requests(latest, k).withColumn("offset_days", F.lit(k)) for k in (1, 7)]
+    return reqs, cat, latest
+
+
+@query("baseline_nearest", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, nearest_created_at FROM near"),
+       ids=("J4", "DT-2", "DT-3"))
+def baseline_nearest(spark, d):
+    reqs, cat, _ = _requests_both(feeds.feed_slot(spark, d))
+    out = [B.nearest_pick(r, cat).withColumn("offset_days", F.lit(k)) for r, k in zip(reqs, (1, 7))]
+    return out[0].unionByName(out[1])
+
+
+@query("baseline_asof", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, asof_created_at FROM asofp"),
+       ids=("J5",))
+def baseline_asof(spark, d):
+    reqs, cat, _ = _requests_both(feeds.feed_slot(spark, d))
+    out = [B.asof_pick(r, cat).withColumn("offset_days", F.lit(k)) for r, k in zip(reqs, (1, 7))]
+    return out[0].unionByName(out[1])
+
+
+@query("baseline_resolve", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, target_at, base_created_at, how FROM pick"),
+       ids=("J6",))
+def baseline_resolve(spark, d):
+    rows = feeds.feed_slot(spark, d)
+    latest, cat = B.latest_per_day(rows), B.catalogue(rows)
+    out = [B.resolve(latest, cat, k).withColumn("offset_days", F.lit(k)) for k in (1, 7)]
+    return out[0].unionByName(out[1])
+
+
+@query("rank_report", oracle=_with(SLOT_CHAIN, f"SELECT {ANN_WEEK} FROM aw"), ids=("J8", "SRC-12"))
+def rank_report(spark, d):
+    return C.by_resolution(feeds.feed_slot(spark, d))[0].weekly()
+
+
+@query("rank_report_chart_out", oracle=_with(SLOT_CHAIN, f"SELECT {CO_COLS} FROM co"), ids=("J2", "J8"))
+def rank_report_chart_out(spark, d):
+    return C.by_resolution(feeds.feed_slot(spark, d))[0].chart_outs()
+
+
+_TOP_SQL = f"""
+SELECT channel, captured_at, pos, rank, brand, product,
+       CASE WHEN channel IN ('click', 'purchase') AND price IS NOT NULL THEN '$' || price ELSE price END AS price,
+       coalesce(status_day, '-') AS status_day, coalesce(status_week, '-') AS status_week, '' AS remark
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY channel, captured_at
+             ORDER BY rank, brand_key, product_key, prev_rank_day NULLS FIRST, prev_rank_week NULLS FIRST) AS INTEGER) AS pos
+      FROM aw WHERE rank IS NOT NULL) t
+WHERE pos <= 50"""
+
+
+@query("report_top_n", oracle=_with(SLOT_CHAIN, _TOP_SQL), ids=("W4", "PRJ-3", "PRC-4", "FMT-3", "ORD-1"))
+def report_top_n(spark, d):
+    return R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS)
+
+
+@query("trend_class", oracle=_with(SLOT_CHAIN, f"""
+SELECT *, CASE WHEN starts_with(status_day, '▲') THEN 'up' WHEN starts_with(status_day, '▼') THEN 'down' ELSE '' END AS trend_day,
+          CASE WHEN starts_with(status_week, '▲') THEN 'up' WHEN starts_with(status_week, '▼') THEN 'down' ELSE '' END AS trend_week
+FROM ({_TOP_SQL}) x"""), ids=("FMT-4",))
+def trend_class(spark, d):
+    return R.with_trend(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS))
+
+
+@query("baseline_labels", oracle=_with(SLOT_CHAIN, """
+, lab AS (
+  SELECT channel, captured_at, 1 AS offset_days, arg_min(base_captured_at, (rank, brand_key, product_key)) AS base_captured_at FROM bd GROUP BY 1, 2
+  UNION ALL
+  SELECT channel, captured_at, 7, arg_min(base_captured_at, (rank, brand_key, product_key)) FROM bw GROUP BY 1, 2)
+SELECT p.channel, p.captured_at, p.offset_days, p.base_created_at,
+       strftime(p.base_created_at, '%Y-%m-%d %H:%M') AS pick_label, l.base_captured_at,
+       CASE WHEN l.base_captured_at IS NULL THEN NULL
+            WHEN microsecond(l.base_captured_at) % 1000000 = 0 THEN strftime(l.base_captured_at, '%Y-%m-%d %H:%M:%S')
+            ELSE strftime(l.base_captured_at, '%Y-%m-%d %H:%M:%S.%f') END AS label
+FROM pick p LEFT JOIN lab l ON l.channel = p.channel AND l.captured_at = p.captured_at AND l.offset_days = p.offset_days
+""".replace("\n, lab AS", ",\nlab AS", 1)), ids=("A7", "DT-4"))
+def baseline_labels(spark, d):
+    cs, day_pairs, week_pairs = C.by_resolution(feeds.feed_slot(spark, d))
+    out = []
+    for k, pairs, base in ((1, day_pairs, cs.base_day), (7, week_pairs, cs.base_week)):
+        labels = R.baseline_labels(base)
+        out.append(R.pick_labels(pairs).join(labels, C.REPORT_KEY, "left").select(
+            "channel", "captured_at", F.lit(k).alias("offset_days"), "base_created_at", "pick_label",
+            "base_captured_at", "label"))
+    return out[0].unionByName(out[1])
+
+
+# ---------------------------------------------------------------------------
+# W2 / FMT-5 on the half-day feed
+# ---------------------------------------------------------------------------
+HALF_CHAIN = S.offset_chain(S.FEED_HALF)
+_WATCH = _sql_list(HALF_PARAMS.watch_brands)
+
+_HL_SQL = f"""
+, a AS (SELECT *, abs(delta_day) AS abs_delta FROM ad2
+        WHERE rank <= 50 AND status_day IS NOT NULL AND status_day NOT IN ('', '-')),
+cand AS (
+  SELECT *, 1 AS tier, -abs_delta AS o1, rank AS o2 FROM a WHERE abs_delta >= 2
+  UNION ALL
+  SELECT *, 2, -abs_delta, rank FROM a
+   WHERE lower(brand) IN ({_WATCH}) AND coalesce(abs_delta, 0) > CASE WHEN status_day = '신규' THEN 1 ELSE 0 END
+  UNION ALL
+  SELECT *, 3, rank, 0 FROM a WHERE rank <= 10),
+t1 AS (SELECT channel, captured_at, count(DISTINCT (brand, product)) AS n1 FROM cand WHERE tier = 1 GROUP BY 1, 2),
+gated AS (
+  SELECT cand.* FROM cand LEFT JOIN t1 USING (channel, captured_at)
+  WHERE tier <> 2 OR least(coalesce(n1, 0), 7) < 5),
+firsts AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY channel, captured_at, brand, product
+                                 ORDER BY tier, o1, o2, delta_day DESC NULLS LAST, brand_key, product_key) AS k
+    FROM gated) x WHERE k = 1),
+hl AS (
+  SELECT * FROM (
+    SELECT *, CAST(row_number() OVER (PARTITION BY channel, captured_at
+                   ORDER BY tier, o1, o2, delta_day DESC NULLS LAST, brand_key, product_key) AS INTEGER) AS line_no
+    FROM firsts) y WHERE line_no <= 7)"""
+
+
+@query("highlights", oracle=_with(HALF_CHAIN, _HL_SQL.replace("\n, a AS", ",\na AS", 1) + """
+SELECT channel, captured_at, line_no, CAST(tier AS INTEGER) AS tier, brand, product, rank, status_day,
+       '  ' || status_day || ': ' || brand || ' - ' || product || '(#' || CAST(rank AS VARCHAR) || ')' AS line
+FROM hl"""), ids=("W2", "FLT-5", "FLT-6", "MTH-2", "ORD-2"))
+def highlights(spark, d):
+    return R.highlights(C.by_offset(feeds.feed_half(spark, d)).daily(), HALF_PARAMS)
+
+
+_DIGEST_SQL = _HL_SQL.replace("\n, a AS", ",\na AS", 1) + f""",
+labd AS (SELECT channel, captured_at, arg_min(base_captured_at, (rank, brand_key, product_key)) AS b FROM bd GROUP BY 1, 2),
+labw AS (SELECT channel, captured_at, arg_min(base_captured_at, (rank, brand_key, product_key)) AS b FROM bw GROUP BY 1, 2),
+cnt AS ({_COUNTS_SQL}),
+pres AS (SELECT DISTINCT channel, captured_at FROM ad2),
+cof AS (SELECT * FROM co WHERE prev_rank_day IS NOT NULL AND prev_rank_day <= 50),
+cotop AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY channel, captured_at
+                         ORDER BY prev_rank_day, brand_key, product_key) AS pos FROM cof) z WHERE pos <= 5),
+lines AS (
+  SELECT r.channel, r.captured_at, 1 AS line_no,
+         '전일 기준: ' || coalesce(strftime(d.b, '%Y-%m-%d %H:%M:%S'), '참고 가능한 데이터 없음') AS line
+  FROM rep r LEFT JOIN labd d USING (channel, captured_at)
+  UNION ALL
+  SELECT r.channel, r.captured_at, 2,
+         '전주 기준: ' || coalesce(strftime(w.b, '%Y-%m-%d %H:%M:%S'), '참고 가능한 데이터 없음')
+  FROM rep r LEFT JOIN labw w USING (channel, captured_at)
+  UNION ALL SELECT channel, captured_at, 3, '' FROM rep
+  UNION ALL
+  SELECT p.channel, p.captured_at, 4,
+         '[' || p.channel || '] ▲ ' || coalesce(up_count, 0) || ' / ▼ ' || coalesce(down_count, 0)
+         || ' / 신규 ' || coalesce(new_count, 0) || ' / 유지 ' || coalesce(keep_count, 0)
+  FROM pres p LEFT JOIN cnt USING (channel, captured_at)
+  UNION ALL
+  SELECT channel, captured_at, line_no + 10,
+         '  ' || status_day || ': ' || brand || ' - ' || product || '(#' || CAST(rank AS VARCHAR) || ')' FROM hl
+  UNION ALL SELECT DISTINCT channel, captured_at, 30, '' FROM hl
+  UNION ALL SELECT channel, captured_at, 40, '차트 아웃 ' || count(*) || '개' FROM cof GROUP BY 1, 2
+  UNION ALL
+  SELECT channel, captured_at, 40 + pos, '  #' || CAST(prev_rank_day AS VARCHAR) || ' ' || brand || ' - ' || product
+  FROM cotop)
+SELECT channel, captured_at, string_agg(line, chr(10) ORDER BY line_no) AS digest, count(*) AS n_lines
+FROM lines WHERE EXISTS (SELECT 1 FROM rep WHERE rep.channel = lines.channel AND rep.captured_at = lines.captured_at)
+GROUP BY channel, captured_at"""
+
+
+@query("digest_text", oracle=_with(HALF_CHAIN, _DIGEST_SQL), ids=("FMT-5", "A2", "A4", "W2", "W3", "A7"))
+def digest_text(spark, d):
+    cs = C.by_offset(feeds.feed_half(spark, d))
+    daily = cs.daily()
+    return R.digest(cs.reports, daily, cs.chart_outs(), R.baseline_labels(cs.base_day),
+                    R.baseline_labels(cs.base_week), HALF_PARAMS)

@@ -159,3 +159,87 @@ def preprocess(src: str, rank_is_text: bool = False) -> str:
     FROM {src} s
     WHERE product IS NOT NULL) t
   WHERE rk IS NOT NULL)"""
+
+
+# ---------------------------------------------------------------------------
+# Comparison chains.  Each returns CTE text (no leading WITH) that defines:
+#   c    cleaned rows              cur  current rows (reports' own rows)
+#   rep  report keys               bd/bw baseline rows re-keyed to reports
+#   ad   daily annotated           aw   daily+weekly annotated
+#   co   chart-outs
+# ---------------------------------------------------------------------------
+
+def _annotate_tail() -> str:
+    st_day = status("delta_day")
+    st_week = status("delta_week")
+    return f"""
+ad AS (
+  SELECT cur.*, bd.rank AS prev_rank_day, CAST(bd.rank - cur.rank AS INTEGER) AS delta_day
+  FROM cur LEFT JOIN bd ON bd.channel = cur.channel AND bd.captured_at = cur.captured_at
+       AND bd.brand_key = cur.brand_key AND bd.product_key = cur.product_key),
+ad2 AS (SELECT *, {st_day} AS status_day FROM ad),
+hw AS (SELECT DISTINCT channel, captured_at FROM bw),
+aw0 AS (
+  SELECT ad2.*, bw.rank AS prev_rank_week, CAST(bw.rank - ad2.rank AS INTEGER) AS delta_week,
+         EXISTS (SELECT 1 FROM hw WHERE hw.channel = ad2.channel AND hw.captured_at = ad2.captured_at) AS has_week
+  FROM ad2 LEFT JOIN bw ON bw.channel = ad2.channel AND bw.captured_at = ad2.captured_at
+       AND bw.brand_key = ad2.brand_key AND bw.product_key = ad2.product_key),
+aw AS (SELECT * EXCLUDE (has_week), CASE WHEN has_week THEN {st_week} ELSE '{STATUS_SAME}' END AS status_week FROM aw0),
+co AS (
+  SELECT channel, captured_at, brand, product, brand_key, product_key, rank AS prev_rank_day,
+         '차트 아웃' AS status_day
+  FROM bd
+  WHERE EXISTS (SELECT 1 FROM rep WHERE rep.channel = bd.channel AND rep.captured_at = bd.captured_at)
+    AND NOT EXISTS (SELECT 1 FROM cur WHERE cur.channel = bd.channel AND cur.captured_at = bd.captured_at
+                    AND cur.brand_key = bd.brand_key AND cur.product_key = bd.product_key))"""
+
+
+def offset_chain(feed: str, day_days: int = 1, week_days: int = 7) -> str:
+    return f"""
+c AS {preprocess(feed)},
+cur AS (SELECT * FROM c),
+rep AS (SELECT DISTINCT {clean_plain('channel')} AS channel, captured_at FROM {feed} f),
+bd AS (SELECT channel, captured_at + INTERVAL {day_days} DAY AS captured_at, captured_at AS base_captured_at,
+              brand, product, brand_key, product_key, rank FROM c),
+bw AS (SELECT channel, captured_at + INTERVAL {week_days} DAY AS captured_at, captured_at AS base_captured_at,
+              brand, product, brand_key, product_key, rank FROM c),{_annotate_tail()}"""
+
+
+def resolve_chain(feed: str, day_days: int = 1, week_days: int = 7, anchor_hour: int = 8) -> str:
+    return f"""
+raw AS (SELECT f.*, {clean_plain('f.channel')} AS ch FROM {feed} f),
+latest AS (SELECT ch AS channel, {day('captured_at')} AS day, max(captured_at) AS captured_at
+           FROM raw WHERE captured_at IS NOT NULL GROUP BY 1, 2),
+cat AS (SELECT DISTINCT ch AS channel, captured_at, created_at FROM raw),
+c AS {preprocess(feed)},
+cur AS (SELECT * FROM c WHERE EXISTS (SELECT 1 FROM latest l WHERE l.channel = c.channel AND l.captured_at = c.captured_at)),
+rep AS (SELECT channel, captured_at FROM latest),
+req AS (SELECT channel, captured_at, o.k AS offset_days, captured_at - INTERVAL 1 DAY * o.k AS target_at
+        FROM latest, (VALUES ({day_days}), ({week_days})) o(k)),
+near AS (
+  SELECT channel, captured_at, offset_days, created_at AS nearest_created_at FROM (
+    SELECT r.channel, r.captured_at, r.offset_days, k.created_at,
+           row_number() OVER (PARTITION BY r.channel, r.captured_at, r.offset_days
+             ORDER BY abs(date_diff('microsecond', {day('r.target_at')} + INTERVAL {anchor_hour} HOUR, k.created_at)),
+                      k.created_at DESC) AS rn
+    FROM req r JOIN cat k ON k.channel = r.channel AND {day('k.captured_at')} = {day('r.target_at')}
+    WHERE k.created_at IS NOT NULL) t
+  WHERE rn = 1),
+asofp AS (
+  SELECT r.channel, r.captured_at, r.offset_days,
+         (SELECT max(k.created_at) FROM cat k WHERE k.channel = r.channel AND k.created_at < r.target_at) AS asof_created_at
+  FROM req r),
+pick AS (
+  SELECT r.channel, r.captured_at, r.offset_days, r.target_at,
+         coalesce(n.nearest_created_at, a.asof_created_at) AS base_created_at,
+         CASE WHEN n.nearest_created_at IS NOT NULL THEN 'nearest'
+              WHEN a.asof_created_at IS NOT NULL THEN 'asof' END AS how
+  FROM req r
+  LEFT JOIN near n ON n.channel = r.channel AND n.captured_at = r.captured_at AND n.offset_days = r.offset_days
+  LEFT JOIN asofp a ON a.channel = r.channel AND a.captured_at = r.captured_at AND a.offset_days = r.offset_days),
+bd AS (SELECT p.channel, p.captured_at, c.captured_at AS base_captured_at, c.brand, c.product, c.brand_key,
+              c.product_key, c.rank
+       FROM pick p JOIN c ON c.channel = p.channel AND c.created_at = p.base_created_at WHERE p.offset_days = {day_days}),
+bw AS (SELECT p.channel, p.captured_at, c.captured_at AS base_captured_at, c.brand, c.product, c.brand_key,
+              c.product_key, c.rank
+       FROM pick p JOIN c ON c.channel = p.channel AND c.created_at = p.base_created_at WHERE p.offset_days = {week_days}),{_annotate_tail()}"""
