@@ -97,10 +97,10 @@ def feed_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(eid % 5 == 2, F.lit("N/A"))
                  .when(eid % 5 == 3, F.lit(" "))
                  .when(eid % 5 == 4, price))
-    brand = F.when(eid % 4 != 0, F.concat(F.lit(" Brand  "), (F.col("user_id") % 10).cast("string"), F.lit(" ")))
+    brand = F.when(eid % 4 != 0, F.concat(F.lit(" Brand\u00a0 "), (F.col("user_id") % 10).cast("string"), F.lit(" ")))
     product = F.when(eid % 9 != 0, F.concat(
         F.lit("("), (F.col("user_id") % 7 + 1).cast("string"), F.lit("ML)  "),
-        F.col("event_type"), F.lit(" item "), F.col("user_id").cast("string")))
+        F.col("event_type"), F.lit("\u00a0item "), F.col("user_id").cast("string")))
     channel = F.when(eid % 13 != 0, F.concat(F.lit(" "), F.col("event_type")))
     return ev.select(
         eid.alias("id"),

@@ -303,3 +303,189 @@ def digest_text(spark, d):
     daily = cs.daily()
     return R.digest(cs.reports, daily, cs.chart_outs(), R.baseline_labels(cs.base_day),
                     R.baseline_labels(cs.base_week), HALF_PARAMS)
+
+
+# ---------------------------------------------------------------------------
+# Cleaning steps on the dirty feed (PRJ-4..6, FLT-1, STR-5/6)
+# ---------------------------------------------------------------------------
+from rankdelta.operators import clean as K  # noqa: E402
+
+DIRTY = S.FEED_DIRTY
+
+
+@query("clean_rank", oracle=f"""
+SELECT id, rank FROM (SELECT id, {S.rank_int('rank', True)} AS rank FROM {DIRTY} f) t WHERE rank IS NOT NULL""",
+       ids=("PRJ-4",))
+def clean_rank(spark, d):
+    return K.clean_rank(feeds.feed_dirty(spark, d)).select("id", "rank")
+
+
+@query("fill_blank", oracle=f"""
+SELECT id, coalesce(brand, '') AS brand, coalesce(price, '') AS price, coalesce(old_price, '') AS old_price,
+       coalesce(channel, '') AS channel FROM {DIRTY} f""", ids=("PRJ-5",))
+def fill_blank(spark, d):
+    return K.fill_blank(feeds.feed_dirty(spark, d)).select("id", "brand", "price", "old_price", "channel")
+
+
+@query("default_old_price", oracle=f"""
+SELECT id, price, CASE WHEN old_price IS NULL OR {S.strip('old_price')} IN ('', 'N/A') THEN price ELSE old_price END AS old_price
+FROM {DIRTY} f""", ids=("PRJ-6",))
+def default_old_price(spark, d):
+    return K.default_old_price(feeds.feed_dirty(spark, d)).select("id", "price", "old_price")
+
+
+@query("require_cols", oracle=f"SELECT id, rank, product FROM {DIRTY} f WHERE rank IS NOT NULL AND product IS NOT NULL",
+       ids=("FLT-1",))
+def require_cols(spark, d):
+    return K.require(feeds.feed_dirty(spark, d)).select("id", "rank", "product")
+
+
+@query("preprocess_ranks", oracle=f"""
+SELECT id, rank, brand, product, channel, brand_key, product_key FROM {S.preprocess(DIRTY, rank_is_text=True)} p""",
+       ids=("STR-6", "STR-5", "PRJ-7"))
+def preprocess_ranks(spark, d):
+    return K.preprocess(feeds.feed_dirty(spark, d)).select(
+        "id", "rank", "brand", "product", "channel", "brand_key", "product_key")
+
+
+@query("collector_rows", oracle=f"""
+SELECT id, rank, coalesce(brand, '') AS brand, product,
+       CASE WHEN old_price IS NULL OR {S.strip('old_price')} IN ('', 'N/A') THEN coalesce(price, '') ELSE old_price END AS old_price,
+       coalesce(price, '') AS price, coalesce(channel, '') AS channel
+FROM (SELECT id, {S.rank_int('rank', True)} AS rank, brand, product, old_price, price, channel
+      FROM {DIRTY} f WHERE rank IS NOT NULL AND product IS NOT NULL) t
+WHERE rank IS NOT NULL""", ids=("PRJ-4", "PRJ-5", "PRJ-6", "FLT-1"))
+def collector_rows(spark, d):
+    return K.collector_clean(feeds.feed_dirty(spark, d)).select(
+        "id", "rank", "brand", "product", "old_price", "price", "channel")
+
+
+# ---------------------------------------------------------------------------
+# Titles and keys (STR-1..4, A6) on part-derived titles
+# ---------------------------------------------------------------------------
+from rankdelta.functions import text as X  # noqa: E402
+
+
+def _split_sql(title_expr: str) -> tuple[str, str]:
+    parts_brand = S.strip(f"split_part({title_expr}, '-', 1)")
+    rest = f"substr({title_expr}, strpos({title_expr}, '-') + 1)"
+    return parts_brand, rest
+
+
+def _split_cols_sql(cleaner) -> tuple[str, str]:
+    name = cleaner("raw_title")
+    b, rest = _split_sql(name)
+    brand = f"CASE WHEN strpos({name}, '-') = 0 OR {b} = '' THEN 'N/A' ELSE {b} END"
+    product = f"CASE WHEN strpos({name}, '-') > 0 THEN {cleaner(rest)} ELSE {name} END"
+    return brand, product
+
+
+_BA, _PA = _split_cols_sql(S.clean_title)
+_BB, _PB = _split_cols_sql(S.clean_plain)
+
+
+@query("clean_titles", oracle=f"SELECT item_id, raw_title, {S.clean_title('raw_title')} AS title FROM {S.TITLES} t",
+       ids=("STR-1",))
+def clean_titles(spark, d):
+    t = feeds.titles(spark, d)
+    return t.select("item_id", "raw_title", X.clean_title("raw_title").alias("title"))
+
+
+@query("clean_titles_plain", oracle=f"SELECT item_id, raw_title, {S.clean_plain('raw_title')} AS title FROM {S.TITLES} t",
+       ids=("STR-2",))
+def clean_titles_plain(spark, d):
+    t = feeds.titles(spark, d)
+    return t.select("item_id", "raw_title", X.clean_title_plain("raw_title").alias("title"))
+
+
+@query("split_brand", oracle=f"""
+SELECT item_id, {_BA} AS brand_a, {_PA} AS product_a, {_BB} AS brand_b, {_PB} AS product_b FROM {S.TITLES} t""",
+       ids=("STR-4",))
+def split_brand(spark, d):
+    t = feeds.titles(spark, d)
+    ba, pa = X.split_brand_product("raw_title", X.clean_title)
+    bb, pb = X.split_brand_product("raw_title", X.clean_title_plain)
+    return t.select("item_id", ba.alias("brand_a"), pa.alias("product_a"), bb.alias("brand_b"), pb.alias("product_b"))
+
+
+_KEYS_SQL = f"""
+SELECT item_id, rank, brand, product, {S.match_key('brand')} AS brand_key, {S.match_key('product')} AS product_key
+FROM (SELECT item_id, rank, {_BA} AS brand, {_PA} AS product FROM {S.TITLES} t) s"""
+
+
+@query("match_keys", oracle=_KEYS_SQL, ids=("STR-3",))
+def match_keys(spark, d):
+    t = feeds.titles(spark, d)
+    brand, product = X.split_brand_product("raw_title", X.clean_title)
+    return K.with_match_keys(t.select("item_id", "rank", brand.alias("brand"), product.alias("product")))
+
+
+@query("dedup_match_keys", oracle=f"""
+SELECT item_id, rank, brand, product, brand_key, product_key FROM (
+  SELECT *, row_number() OVER (PARTITION BY brand_key, product_key ORDER BY rank, item_id) AS k FROM ({_KEYS_SQL}) x) y
+WHERE k = 1""", ids=("A6",))
+def dedup_match_keys(spark, d):
+    from pyspark.sql import Window
+    keyed = match_keys(spark, d)
+    w = Window.partitionBy("brand_key", "product_key").orderBy("rank", "item_id")
+    return keyed.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") == 1).drop("_k")
+
+
+# ---------------------------------------------------------------------------
+# Price readers (PRC-1..3) on part-derived price texts
+# ---------------------------------------------------------------------------
+from rankdelta.functions import price as P  # noqa: E402
+
+_SYM = f"[{S.CURRENCY_SYMBOLS}]"
+_SYM_NUM = f"{_SYM}{S.WS}?{S.NUM_RE}"
+_PFX_NUM = f"(?s)^(.*?)({S.NUM_RE})"
+
+
+@query("price_with_symbol", oracle=f"""
+SELECT item_id, price_text,
+  CASE WHEN price_text IS NULL OR price_text = '' THEN 'N/A'
+       WHEN regexp_matches(price_text, {S.q(_SYM_NUM)}) THEN regexp_extract(price_text, {S.q(_SYM_NUM)}, 0)
+       WHEN regexp_matches(price_text, {S.q(S.NUM_RE)}) THEN
+         CASE WHEN regexp_matches(regexp_extract(price_text, {S.q(_PFX_NUM)}, 1), {S.q(_SYM + S.WS + '*' + chr(92) + 'z')})
+              THEN regexp_extract(regexp_extract(price_text, {S.q(_PFX_NUM)}, 1), {S.q('(' + _SYM + ')' + S.WS + '*' + chr(92) + 'z')}, 1)
+                   || ' ' || regexp_extract(price_text, {S.q(S.NUM_RE)}, 0)
+              ELSE regexp_extract(price_text, {S.q(S.NUM_RE)}, 0) END
+       ELSE {S.strip('price_text')} END AS price
+FROM {S.PRICES} p""", ids=("PRC-1",))
+def price_with_symbol(spark, d):
+    p = feeds.prices(spark, d)
+    return p.select("item_id", "price_text", P.price_with_symbol("price_text").alias("price"))
+
+
+@query("price_amount", oracle=f"""
+SELECT item_id, price_text,
+  CASE WHEN price_text IS NULL OR regexp_extract(price_text, '[\\p{{Nd}},.]+', 0) = '' THEN 'N/A'
+       ELSE regexp_extract(price_text, '[\\p{{Nd}},.]+', 0) END AS price
+FROM {S.PRICES} p""", ids=("PRC-2",))
+def price_amount(spark, d):
+    p = feeds.prices(spark, d)
+    return p.select("item_id", "price_text", P.price_amount("price_text").alias("price"))
+
+
+@query("price_first_number", oracle=f"""
+SELECT item_id, CASE WHEN sale = '' OR orig = '' THEN '' ELSE sale END AS price,
+       CASE WHEN sale = '' OR orig = '' THEN '' ELSE orig END AS old_price,
+       (sale = '' OR orig = '') AS blanked
+FROM (SELECT item_id, regexp_extract(price_text, '\\p{{Nd}}+(?:\\.\\p{{Nd}}+)?', 0) AS sale,
+             regexp_extract(old_price_text, '\\p{{Nd}}+(?:\\.\\p{{Nd}}+)?', 0) AS orig
+      FROM (SELECT item_id, price_text,
+              CASE item_id % 4 WHEN 0 THEN 'USD 1,' || CAST(item_id AS VARCHAR) || '.50' WHEN 1 THEN 'was ' || CAST(item_id % 50 AS VARCHAR)
+                               WHEN 2 THEN 'sold out' ELSE CAST(item_id AS VARCHAR) || '.5' END AS old_price_text
+            FROM {S.PRICES} p0) p) t""", ids=("PRC-3",))
+def price_first_number(spark, d):
+    p = feeds.prices(spark, d)
+    k = F.col("item_id") % 4
+    iid = F.col("item_id").cast("string")
+    old_text = (F.when(k == 0, F.concat(F.lit("USD 1,"), iid, F.lit(".50")))
+                .when(k == 1, F.concat(F.lit("was "), (F.col("item_id") % 50).cast("string")))
+                .when(k == 2, F.lit("sold out"))
+                .otherwise(F.concat(iid, F.lit(".5"))))
+    sale, orig = P.price_first_number("price_text"), P.price_first_number(old_text)
+    miss = (sale == "") | (orig == "")
+    return p.select("item_id", F.when(miss, F.lit("")).otherwise(sale).alias("price"),
+                    F.when(miss, F.lit("")).otherwise(orig).alias("old_price"), miss.alias("blanked"))

@@ -96,9 +96,9 @@ FEED_DIRTY = f"""(
   SELECT event_id AS id,
     CASE event_id % 7 WHEN 0 THEN '1.7' WHEN 1 THEN ' 3 ' WHEN 2 THEN '1e2' WHEN 3 THEN '1,000'
                       WHEN 4 THEN 'x' WHEN 5 THEN CAST(user_id AS VARCHAR) END AS rank,
-    CASE WHEN event_id % 4 <> 0 THEN ' Brand  ' || CAST(user_id % 10 AS VARCHAR) || ' ' END AS brand,
+    CASE WHEN event_id % 4 <> 0 THEN ' Brand' || chr(160) || ' ' || CAST(user_id % 10 AS VARCHAR) || ' ' END AS brand,
     CASE WHEN event_id % 9 <> 0 THEN '(' || CAST(user_id % 7 + 1 AS VARCHAR) || 'ML)  ' || event_type
-         || ' item ' || CAST(user_id AS VARCHAR) END AS product,
+         || chr(160) || 'item ' || CAST(user_id AS VARCHAR) END AS product,
     CASE event_id % 5 WHEN 1 THEN '' WHEN 2 THEN 'N/A' WHEN 3 THEN ' '
                       WHEN 4 THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS old_price,
     CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS price,
