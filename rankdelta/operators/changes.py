@@ -23,11 +23,19 @@ ROW_KEY = REPORT_KEY + ["brand_key", "product_key"]
 _BASE_COLS = ["brand", "product", "brand_key", "product_key", "rank"]
 
 
-def baseline_by_offset(clean: DataFrame, offset_days: int) -> DataFrame:
-    """Exact-offset mode: a snapshot serves the report captured ``offset`` days later."""
+def _shift(offset):
+    """An int is a number of days; a callable maps a capture time to the
+    capture time of the report it serves (e.g. one month later)."""
+    if callable(offset):
+        return offset
+    return lambda c: plus_days(c, offset)
+
+
+def baseline_by_offset(clean: DataFrame, offset) -> DataFrame:
+    """Exact-offset mode: a snapshot serves the report captured ``offset`` later."""
     return clean.select(
         "channel",
-        plus_days(F.col("captured_at"), offset_days).alias("captured_at"),
+        _shift(offset)(F.col("captured_at")).alias("captured_at"),
         F.col("captured_at").alias("base_captured_at"),
         *_BASE_COLS,
     )
@@ -101,8 +109,7 @@ class ChangeSet:
         return chart_outs(self.current, self.base_day, self.reports)
 
 
-def by_offset(rows: DataFrame, day_days: int = DAY_OFFSET_DAYS,
-              week_days: int = WEEK_OFFSET_DAYS) -> ChangeSet:
+def by_offset(rows: DataFrame, day_days=DAY_OFFSET_DAYS, week_days=WEEK_OFFSET_DAYS) -> ChangeSet:
     """Every snapshot is a report; baselines are the snapshots exactly
     ``day_days`` / ``week_days`` earlier."""
     clean = preprocess(rows)

@@ -1,30 +1,34 @@
-"""Consecutive row numbers over a whole DataFrame without a single-task sort.
+"""Consecutive row numbers across a whole DataFrame without a one-task sort.
 
 ``row_number()`` over an unpartitioned window moves every row into one task.
-Here the rows are range-partitioned on the order keys (Spark samples the
-keys to pick balanced bounds), each partition is sorted locally, and a tiny
-table of per-partition counts — one row per partition, so its size is
-bounded by the partition count — gives each partition its starting offset.
+Instead rows are numbered inside their group (a snapshot: chart-sized), and
+each group gets a starting offset from a table of group sizes — one row per
+group, i.e. metadata — ordered by the group key.  Deterministic: no sampling,
+no dependence on partition layout, so recomputing any stage gives the same ids.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def global_row_number(df: DataFrame, order: list[Column | str], name: str = "row_no",
-                      start: int = 1, partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = start, start+1, ... in ``order`` (which must be total)."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_part", F.spark_partition_id())
-              .withColumn("_mono", F.monotonically_increasing_id()))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_mono").alias("_first"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    # offsets has one row per partition: a bounded, safe broadcast
-    out = ranged.join(F.broadcast(offsets.select("_part", "_first", "_offset")), "_part")
-    value = F.lit(start) + F.col("_offset") + (F.col("_mono") - F.col("_first"))
-    return out.withColumn(name, value).drop("_part", "_mono", "_first", "_offset")
+def _cols(cs) -> list[Column]:
+    return [F.col(c) if isinstance(c, str) else c for c in cs]
+
+
+def grouped_row_number(df: DataFrame, group: list[str], order: list[Column | str],
+                       name: str = "row_no", start: int = 1) -> DataFrame:
+    """``name`` = start, start+1, ... in (group, order) order; (group, order) must be total."""
+    local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*group).orderBy(*_cols(order))))
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per group: the running sum runs over metadata, not over rows
+    before = Window.orderBy(*[F.col(g).asc_nulls_first() for g in group]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    offsets = offsets.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_off")
+    cond = reduce(lambda a, b: a & b, [local[g].eqNullSafe(offsets[f"_g_{g}"]) for g in group])
+    out = local.join(offsets, cond)
+    value = F.lit(start) + F.col("_off") + F.col("_local") - F.lit(1)
+    return out.withColumn(name, value).drop("_local", "_off", *[f"_g_{g}" for g in group])

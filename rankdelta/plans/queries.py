@@ -489,3 +489,245 @@ def price_first_number(spark, d):
     miss = (sale == "") | (orig == "")
     return p.select("item_id", F.when(miss, F.lit("")).otherwise(sale).alias("price"),
                     F.when(miss, F.lit("")).otherwise(orig).alias("old_price"), miss.alias("blanked"))
+
+
+# ---------------------------------------------------------------------------
+# Listing pages (SRC-1..4, PRJ-8, W1, W5, FLT-4)
+# ---------------------------------------------------------------------------
+from rankdelta.sources import listing as L  # noqa: E402
+
+_SEQ_SQL = f"""
+SELECT page_id, url, split_part(split_part(url, '?', 1), '#', 1) AS base_url,
+       regexp_extract(url, '^[A-Za-z]+://[^/]+/([a-z]{{2}})/', 1) AS listing,
+       TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\\p{{Nd}}+)', 1), '') AS INTEGER) AS page_param,
+       coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\\p{{Nd}}+)', 1), '') AS INTEGER), 1) AS page_no
+FROM pages"""
+_ITEM = S.q(L.ITEM_RE)
+_ITEMS_SQL = f"""
+SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position,
+       regexp_extract(item, 'href="([^"]*)"', 1) AS href,
+       regexp_extract(item, 'title="([^"]*)"', 1) AS title_attr,
+       regexp_extract(item, '(?s)<b>([^<]*)</b>', 1) AS inner_text,
+       regexp_extract(item, '(?s)>([^<>]*)</a>', 1) AS raw_title
+FROM (SELECT s.page_id, s.listing, s.page_no, unnest(l) AS item, unnest(range(1, len(l) + 1)) AS position
+      FROM ({_SEQ_SQL}) s JOIN (SELECT page_id, regexp_extract_all(html, {_ITEM}, 1) AS l FROM pages) p USING (page_id)) t"""
+_SLOTS_SQL = f"""
+SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position, (l[position] IS NOT NULL) AS found,
+       coalesce(regexp_extract(l[position], '(?s)>([^<>]*)</a>', 1), '') AS name
+FROM ({_SEQ_SQL}) s JOIN (SELECT page_id, regexp_extract_all(html, {_ITEM}, 1) AS l FROM pages) p USING (page_id),
+     (SELECT unnest(range(1, {L.SLOTS_PER_PAGE + 1})) AS position) k"""
+
+
+def _ranked_sql(src: str, limit: int = 100, order: str = "page_no, page_id, position") -> str:
+    return f"""(SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY listing ORDER BY {order}) AS INTEGER) AS rank
+              FROM ({src}) a) b WHERE rank <= {limit})"""
+
+
+@query("page_sequence", oracle=_SEQ_SQL, ids=("SRC-4",))
+def page_sequence(spark, d):
+    return L.page_sequence(feeds.table(spark, d, "pages"))
+
+
+@query("listing_items", oracle=_ITEMS_SQL, ids=("SRC-1",))
+def listing_items(spark, d):
+    return L.listing_items(feeds.table(spark, d, "pages"))
+
+
+@query("listing_attr_fallback", oracle=f"""
+SELECT page_id, position,
+       coalesce(nullif(title_attr, ''), nullif(inner_text, ''), nullif(raw_title, ''), nullif(href_name, '')) AS name,
+       CASE WHEN title_attr <> '' THEN 'attr' WHEN inner_text <> '' THEN 'inner' WHEN raw_title <> '' THEN 'text'
+            WHEN href_name <> '' THEN 'href' END AS name_source
+FROM (SELECT *, regexp_extract(href, '([^/?#]*)$', 1) AS href_name FROM ({_ITEMS_SQL}) i) t""", ids=("SRC-2",))
+def listing_attr_fallback(spark, d):
+    return L.with_fallback_name(L.listing_items(feeds.table(spark, d, "pages"))) \
+        .select("page_id", "position", "name", "name_source")
+
+
+@query("listing_item_ids", oracle=f"""
+SELECT listing, seq, page_id, item_id FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY listing ORDER BY page_no, page_id) AS INTEGER) AS seq
+  FROM (SELECT *, regexp_extract(url, '\\p{{Nd}}+', 0) AS item_id FROM ({_SEQ_SQL}) s) a WHERE item_id <> '') b
+WHERE seq <= 100""", ids=("SRC-3",))
+def listing_item_ids(spark, d):
+    return L.item_ids(feeds.table(spark, d, "pages"))
+
+
+def _split_named(cleaner, col: str) -> tuple[str, str]:
+    b, p = _split_cols_sql(cleaner)
+    return b.replace("raw_title", col), p.replace("raw_title", col)
+
+
+_LB, _LP = _split_named(S.clean_title, "raw_title")
+
+
+@query("rank_listing", oracle=f"""
+SELECT listing, rank, page_id, position, raw_title, {_LB} AS brand, {_LP} AS product FROM {_ranked_sql(_ITEMS_SQL)} r""",
+       ids=("W1", "W5"))
+def rank_listing(spark, d):
+    return L.rank_listing(feeds.table(spark, d, "pages"))
+
+
+@query("rank_listing_nonblank", oracle=f"""
+SELECT listing, rank, page_id, position, name FROM {_ranked_sql(f"SELECT * FROM ({_SLOTS_SQL}) z WHERE name <> ''")} r""",
+       ids=("FLT-4",))
+def rank_listing_nonblank(spark, d):
+    return L.rank_nonblank(feeds.table(spark, d, "pages"))
+
+
+_SB, _SP = _split_named(S.clean_plain, "name")
+
+
+@query("sentinel_rows", oracle=f"""
+SELECT listing, rank, page_id, position,
+       CASE WHEN NOT found THEN 'N/A' ELSE {_SB} END AS brand,
+       CASE WHEN NOT found THEN 'N/A' ELSE {_SP} END AS product,
+       NOT found AS sentinel
+FROM {_ranked_sql(_SLOTS_SQL)} r""", ids=("PRJ-8",))
+def sentinel_rows(spark, d):
+    return L.with_sentinels(feeds.table(spark, d, "pages"))
+
+
+# ---------------------------------------------------------------------------
+# Snapshot scans, ids, purge, time text, union (SRC-5/6/9/10, DT-1, SET-1)
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from rankdelta.functions import status as ST  # noqa: E402
+from rankdelta.sources import snapshots as SN  # noqa: E402
+
+SCAN_CHANNEL, SCAN_START, SCAN_END = "click", _dt.datetime(2024, 1, 8), _dt.datetime(2024, 1, 15)
+
+
+@query("scan_day_range", oracle=f"""
+SELECT {SNAP} FROM {S.FEED_SLOT} f
+WHERE channel = 'click' AND captured_at >= TIMESTAMP '2024-01-08 00:00:00' AND captured_at < TIMESTAMP '2024-01-15 00:00:00'""",
+       ids=("SRC-5", "FLT-3"))
+def scan_day_range(spark, d):
+    return SN.scan(feeds.feed_slot(spark, d), SCAN_CHANNEL, SCAN_START, SCAN_END)
+
+
+@query("scan_snapshot_limit", oracle=f"""
+SELECT rank, brand, product, old_price, price, captured_at, channel, created_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY channel, created_at ORDER BY rank, id) AS k FROM {S.FEED_DAY} f) t
+WHERE k <= 10""", ids=("SRC-6", "LIM-1"))
+def scan_snapshot_limit(spark, d):
+    from pyspark.sql import Window
+    f = feeds.feed_day(spark, d)
+    w = Window.partitionBy("channel", "created_at").orderBy("rank", "id")
+    return (f.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= 10)
+            .select("rank", "brand", "product", "old_price", "price", "captured_at", "channel", "created_at"))
+
+
+BATCH_STAMP = _dt.datetime(2024, 2, 1, 8, 0, 0)
+
+
+@query("batch_ids", oracle=f"""
+SELECT row_number() OVER (ORDER BY channel, captured_at, rank, id) AS id, rank, brand, product, old_price, price,
+       captured_at, channel, TIMESTAMP '2024-02-01 08:00:00' AS created_at,
+       strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS collected_at
+FROM {S.FEED_DAY} f""", ids=("SRC-9", "PRJ-1"))
+def batch_ids(spark, d):
+    return SN.stamp_batch(feeds.feed_day(spark, d), 1, BATCH_STAMP)
+
+
+@query("purge_duplicates", oracle=f"""
+SELECT {SNAP} FROM {S.PURGE_INPUT} f
+WHERE id IN (SELECT min(id) FROM {S.PURGE_INPUT} g GROUP BY brand, product, old_price, price, captured_at)""",
+       ids=("SRC-10", "A3"))
+def purge_duplicates(spark, d):
+    return SN.purge_duplicates(feeds.purge_input(spark, d))
+
+
+@query("seoul_time", oracle="""
+SELECT event_id, ts, local_ts, strftime(local_ts, '%Y-%m-%d %H:%M:%S') AS capture_text,
+       CAST(CAST(local_ts AS DATE) AS TIMESTAMP) AS local_day, strftime(local_ts, '%y%m%d') AS file_stamp,
+       strftime(local_ts, '%Y-%m-%d %H:%M') AS minute_label
+FROM (SELECT event_id, ts, timezone('Asia/Seoul', timezone('UTC', ts)) AS local_ts FROM events) e""", ids=("DT-1", "DT-3", "DT-4"))
+def seoul_time(spark, d):
+    ev = feeds.table(spark, d, "events").select("event_id", "ts")
+    local = ST.local_wall_time(F.col("ts"))
+    return ev.select("event_id", "ts", local.alias("local_ts")).select(
+        "event_id", "ts", "local_ts",
+        F.date_format("local_ts", "yyyy-MM-dd HH:mm:ss").alias("capture_text"),
+        ST.day_start("local_ts").alias("local_day"),
+        ST.file_date_stamp("local_ts").alias("file_stamp"),
+        ST.minute_label("local_ts").alias("minute_label"))
+
+
+UNION_A = ("click", "view")
+
+
+@query("union_channels", oracle=f"""
+SELECT *, 'A' AS category FROM {S.FEED_DAY} f WHERE channel IN ('click', 'view')
+UNION ALL BY NAME
+SELECT * EXCLUDE (old_price), 'B' AS category FROM {S.FEED_DAY} g WHERE channel NOT IN ('click', 'view')""",
+       ids=("SET-1",))
+def union_channels(spark, d):
+    f = feeds.feed_day(spark, d)
+    a = f.filter(F.col("channel").isin(*UNION_A)).withColumn("category", F.lit("A"))
+    b = f.filter(~F.col("channel").isin(*UNION_A)).drop("old_price").withColumn("category", F.lit("B"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------------------
+# Month grain on lineitem (J1 with a one-month offset)
+# ---------------------------------------------------------------------------
+MONTH_CHAIN = S.offset_chain(S.FEED_MONTH).replace("INTERVAL 1 DAY", "INTERVAL 1 MONTH").replace(
+    "INTERVAL 7 DAY", "INTERVAL 12 MONTH")
+
+
+def _months(n: int):
+    return lambda c: F.add_months(c.cast("date"), n).cast("timestamp_ntz")
+
+
+@query("rank_change_monthly", oracle=_with(MONTH_CHAIN, f"SELECT {ANN_WEEK} FROM aw"), ids=("J1", "J3"))
+def rank_change_monthly(spark, d):
+    return C.by_offset(feeds.feed_month(spark, d), _months(1), _months(12)).weekly()
+
+
+# ---------------------------------------------------------------------------
+# Round trips through the snapshot table and the report files (SRC-7/8/11)
+# ---------------------------------------------------------------------------
+from rankdelta.sources import report_sink as RS  # noqa: E402
+
+STAMP_1, STAMP_2 = _dt.datetime(2024, 2, 1, 8, 0, 0), _dt.datetime(2024, 2, 2, 8, 0, 0)
+_TWO_BATCHES_SQL = f"""
+WITH n AS (SELECT *, row_number() OVER (ORDER BY channel, captured_at, rank, id) AS rn, count(*) OVER () AS total
+           FROM {S.FEED_DAY} f)
+SELECT rn AS id, rank, brand, product, old_price, price, captured_at, channel,
+       TIMESTAMP '2024-02-01 08:00:00' AS created_at, CAST(captured_at AS DATE) AS capture_date FROM n
+{{second}}"""
+
+
+@query("snapshot_roundtrip", oracle=_TWO_BATCHES_SQL.format(second=f"""UNION ALL
+SELECT rn + total, rank, brand, product, old_price, price, captured_at, channel,
+       TIMESTAMP '2024-02-02 08:00:00', CAST(captured_at AS DATE) FROM n"""), ids=("SRC-7", "SRC-8", "SRC-9"))
+def snapshot_roundtrip(spark, d):
+    path = SN.scratch_path(spark, "snapshots")
+    SN.ensure_snapshot_table(spark, path)
+    feed = feeds.feed_day(spark, d)
+    SN.append_snapshot(spark, feed, path, STAMP_1)
+    SN.append_snapshot(spark, feed, path, STAMP_2)
+    return SN.read_snapshots(spark, path)
+
+
+@query("purge_roundtrip", oracle=_TWO_BATCHES_SQL.format(second=""), ids=("SRC-10", "SRC-8"))
+def purge_roundtrip(spark, d):
+    path = SN.scratch_path(spark, "purge")
+    feed = feeds.feed_day(spark, d)
+    SN.append_snapshot(spark, feed, path, STAMP_1)
+    SN.append_snapshot(spark, feed, path, STAMP_2)
+    SN.purge_table(spark, path)
+    SN.purge_table(spark, path)  # idempotent
+    return SN.read_snapshots(spark, path)
+
+
+@query("report_roundtrip", oracle=_with(SLOT_CHAIN, f"""
+SELECT captured_at, pos, rank AS "랭킹", brand AS "브랜드", product AS "제품명", price AS "가격",
+       status_day AS "전일대비 증감", status_week AS "전주대비 증감", coalesce(nullif(remark, ''), NULL) AS "비고", channel
+FROM ({_TOP_SQL}) x"""), ids=("SRC-11",))
+def report_roundtrip(spark, d):
+    path = SN.scratch_path(spark, "report")
+    RS.write_report(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS), path)
+    return RS.read_report(spark, path)

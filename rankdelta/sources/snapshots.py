@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankdelta.operators.ordinal import global_row_number
+from rankdelta.operators.ordinal import grouped_row_number
 from rankdelta.schema import LOCAL_TZ, PURGE_KEYS, SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
 from rankdelta.session import ensure_checkpoint_dir
 
@@ -64,10 +64,14 @@ def scan(df: DataFrame, channel: str | None = None, start=None, end=None,
 def stamp_batch(df: DataFrame, start_id: int, created_at: dt.datetime | None = None,
                 order: tuple[str, ...] = ("channel", "captured_at", "rank", "id")) -> DataFrame:
     """SRC-9 / PRJ-1: surrogate ids continuing after ``start_id - 1`` and one
-    insert stamp for the whole batch (Seoul wall time when not given)."""
+    insert stamp for the whole batch (Seoul wall time when not given).
+
+    Ids follow ``order``; its first two columns (channel, capture time) form
+    the snapshot groups the numbering is distributed over.
+    """
     stamp = (F.lit(created_at).cast("timestamp_ntz") if created_at is not None
              else F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_TZ), F.current_timestamp().cast("timestamp_ntz")))
-    numbered = global_row_number(df, list(order), name="_new_id", start=start_id)
+    numbered = grouped_row_number(df, list(order[:2]), list(order[2:]), name="_new_id", start=start_id)
     return (numbered.withColumn("id", F.col("_new_id").cast("long")).drop("_new_id")
             .withColumn("created_at", stamp)
             .withColumn("collected_at", F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss")))
