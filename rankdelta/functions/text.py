@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rankdelta.schema import DIGIT, VOLUME_UNITS, WS
+from rankdelta.schema import DIGIT, VOLUME_UNITS, WS, WS_CHARS
 
-_STRIP = rf"^{WS}+|{WS}+\z"
 _VOLUME_PREFIX = rf"(?iu)^\({DIGIT}+(?:{'|'.join(VOLUME_UNITS)})\){WS}*"
 
 
@@ -20,13 +19,18 @@ def _col(c) -> Column:
 
 
 def strip_ws(c) -> Column:
-    """Python ``str.strip()``."""
-    return F.regexp_replace(_col(c), _STRIP, "")
+    """Python ``str.strip()``: a character-set trim, no regex."""
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def collapse_ws(c) -> Column:
-    """Every whitespace run becomes one space (no strip)."""
-    return F.regexp_replace(_col(c), f"{WS}+", " ")
+    """Every whitespace run becomes one space (no strip).
+
+    Every whitespace character is first mapped to a space (translate), so
+    the only regex left is the cheap "two or more spaces".
+    """
+    spaced = F.translate(_col(c), WS_CHARS, " " * len(WS_CHARS))
+    return F.regexp_replace(spaced, "  +", " ")
 
 
 def clean_title(c) -> Column:
@@ -45,7 +49,7 @@ def clean_title_plain(c) -> Column:
 
 def match_key(c) -> Column:
     """All whitespace removed, case kept; NULL becomes ""."""
-    return F.regexp_replace(F.coalesce(_col(c), F.lit("")), f"{WS}+", "")
+    return F.translate(F.coalesce(_col(c), F.lit("")), WS_CHARS, "")
 
 
 def split_brand_product(title, cleaner=clean_title) -> tuple[Column, Column]:

@@ -87,6 +87,52 @@ def asof_pick(reqs: DataFrame, cat: DataFrame) -> DataFrame:
             .select("channel", "captured_at", "asof_created_at"))
 
 
+def latest_from_catalogue(cat: DataFrame) -> DataFrame:
+    """J7 on the catalogue (same result as ``latest_per_day`` on the rows)."""
+    c = cat.filter(F.col("captured_at").isNotNull())
+    return c.groupBy("channel", day_start("captured_at").alias("day")).agg(F.max("captured_at").alias("captured_at"))
+
+
+def resolve_many(latest: DataFrame, cat: DataFrame, offsets: tuple[int, ...]) -> DataFrame:
+    """J6 for several offsets in one pass over the catalogue.
+
+    Output: channel, captured_at, offset_days, target_at, base_created_at, how.
+    """
+    reqs = None
+    for k in offsets:
+        r = requests(latest, k).withColumn("offset_days", F.lit(k))
+        reqs = r if reqs is None else reqs.unionByName(r)
+    key = ["channel", "captured_at", "offset_days"]
+    # J4, keyed by offset as well
+    r = reqs.withColumn("target_day", day_start("target_at"))
+    c = (cat.filter(F.col("created_at").isNotNull())
+         .select("channel", day_start("captured_at").alias("target_day"), "created_at"))
+    diff = F.timestamp_diff("MICROSECOND", plus_hours(F.col("target_day"), BASELINE_ANCHOR_HOUR), F.col("created_at"))
+    near = r.join(c, ["channel", "target_day"]).groupBy(*key).agg(
+        F.min_by("created_at", F.struct(F.abs(diff), -diff)).alias("nearest_created_at"))
+    # J5 for the requests J4 could not answer
+    open_reqs = reqs.join(near, key, "left_anti")
+    batches = (cat.filter(F.col("created_at").isNotNull())
+               .select("channel", F.col("created_at").alias("t"), F.lit(1).alias("kind"),
+                       F.col("created_at").alias("stamp"),
+                       F.lit(None).cast("timestamp_ntz").alias("captured_at"),
+                       F.lit(None).cast("int").alias("offset_days")))
+    asks = open_reqs.select("channel", F.col("target_at").alias("t"), F.lit(0).alias("kind"),
+                            F.lit(None).cast("timestamp_ntz").alias("stamp"), "captured_at", "offset_days")
+    w = (Window.partitionBy("channel").orderBy("t", "kind")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    asof = (batches.unionByName(asks)
+            .withColumn("asof_created_at", F.last("stamp", ignorenulls=True).over(w))
+            .filter(F.col("kind") == 0).select(*key, "asof_created_at"))
+    out = reqs.join(near, key, "left").join(asof, key, "left")
+    return out.select(
+        *key, "target_at",
+        F.coalesce("nearest_created_at", "asof_created_at").alias("base_created_at"),
+        F.when(F.col("nearest_created_at").isNotNull(), F.lit("nearest"))
+        .when(F.col("asof_created_at").isNotNull(), F.lit("asof")).alias("how"),
+    )
+
+
 def resolve(latest: DataFrame, cat: DataFrame, offset_days: int) -> DataFrame:
     """Nearest pick on the target day, else the strict as-of fallback.
 

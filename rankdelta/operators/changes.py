@@ -8,6 +8,7 @@ join over rows, and all channels and days go through one plan.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,6 +89,18 @@ def chart_outs(current: DataFrame, base: DataFrame, reports: DataFrame) -> DataF
     )
 
 
+def shared(rows: DataFrame) -> DataFrame:
+    """Materialise the input rows once for all comparisons built on them.
+
+    The current side and every baseline side read the same rows; without
+    this, the join's inferred not-null filters make the branches differ, so
+    Spark cannot reuse exchanges and recomputes the whole input per branch.
+    MEMORY_AND_DISK: partitions that do not fit spill to executor disk, and
+    a lost executor's blocks are recomputed from lineage.
+    """
+    return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 class ChangeSet:
     """Annotated rows, chart-outs and the baselines behind them, built lazily."""
 
@@ -112,6 +125,7 @@ class ChangeSet:
 def by_offset(rows: DataFrame, day_days=DAY_OFFSET_DAYS, week_days=WEEK_OFFSET_DAYS) -> ChangeSet:
     """Every snapshot is a report; baselines are the snapshots exactly
     ``day_days`` / ``week_days`` earlier."""
+    rows = shared(rows)
     clean = preprocess(rows)
     reports = normalise_names(rows.select("channel", "captured_at"), ("channel",)).distinct()
     return ChangeSet(clean, baseline_by_offset(clean, day_days),
@@ -125,12 +139,16 @@ def by_resolution(rows: DataFrame, day_days: int = DAY_OFFSET_DAYS,
 
     Returns the change set and the day/week pick tables.
     """
-    latest = B.latest_per_day(rows)
-    cat = B.catalogue(rows)
+    rows = shared(rows)
+    # Catalogue-level tables: one row per batch / report, i.e. metadata.
+    # Persisted so every branch below reads them instead of recomputing.
+    cat = B.catalogue(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    latest = B.latest_from_catalogue(cat).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = B.resolve_many(latest, cat, (day_days, week_days)).persist(StorageLevel.MEMORY_AND_DISK)
+    day_pairs = pairs.filter(F.col("offset_days") == day_days).drop("offset_days")
+    week_pairs = pairs.filter(F.col("offset_days") == week_days).drop("offset_days")
     clean = preprocess(rows)
     current = clean.join(latest.select(*REPORT_KEY), REPORT_KEY, "left_semi")
-    day_pairs = B.resolve(latest, cat, day_days)
-    week_pairs = B.resolve(latest, cat, week_days)
     cs = ChangeSet(current, baseline_by_pick(clean, day_pairs),
                    baseline_by_pick(clean, week_pairs), latest.select(*REPORT_KEY))
     return cs, day_pairs, week_pairs

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankdelta.functions.status import day_start, plus_hours
-from rankdelta.session import table
+from rankdelta.session import table  # noqa: F401  (re-exported for queries)
 
 
 def _dec_text(c: str) -> Column:

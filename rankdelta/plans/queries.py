@@ -161,9 +161,8 @@ def baseline_asof(spark, d):
        ids=("J6",))
 def baseline_resolve(spark, d):
     rows = feeds.feed_slot(spark, d)
-    latest, cat = B.latest_per_day(rows), B.catalogue(rows)
-    out = [B.resolve(latest, cat, k).withColumn("offset_days", F.lit(k)) for k in (1, 7)]
-    return out[0].unionByName(out[1])
+    cat = B.catalogue(rows)
+    return B.resolve_many(B.latest_from_catalogue(cat), cat, (1, 7))
 
 
 @query("rank_report", oracle=_with(SLOT_CHAIN, f"SELECT {ANN_WEEK} FROM aw"), ids=("J8", "SRC-12"))

@@ -6,7 +6,9 @@ These are SQL *text* builders: the expressions mirror the column functions in
 
 from __future__ import annotations
 
-from rankdelta.schema import CURRENCY_SYMBOLS, DIGIT, STATUS_DOWN, STATUS_NEW, STATUS_SAME, STATUS_UP, VOLUME_UNITS, WS
+from rankdelta.schema import (
+    CURRENCY_SYMBOLS, DIGIT, STATUS_DOWN, STATUS_NEW, STATUS_SAME, STATUS_UP, VOLUME_UNITS, WS, WS_CHARS,
+)
 
 STRIP_RE = rf"^{WS}+|{WS}+\z"
 PREFIX_RE = rf"(?i)^\({DIGIT}+(?:{'|'.join(VOLUME_UNITS)})\){WS}*"
@@ -19,6 +21,9 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+WS_SQL = "(" + " || ".join(f"chr({ord(ch)})" for ch in WS_CHARS) + ")"
+
+
 def strip(x: str) -> str:
     return f"regexp_replace({x}, {q(STRIP_RE)}, '', 'g')"
 
@@ -27,6 +32,10 @@ def collapse(x: str) -> str:
     return f"regexp_replace({x}, {q(WS + '+')}, ' ', 'g')"
 
 
+def strip_fast(x: str) -> str:
+    return f"trim({x}, {WS_SQL})"
+
+
 def clean_title(x: str) -> str:
     inner = strip(f"coalesce({x}, '')")
     return collapse(f"regexp_replace({inner}, {q(PREFIX_RE)}, '')")
@@ -40,6 +49,10 @@ def match_key(x: str) -> str:
     return f"regexp_replace(coalesce({x}, ''), {q(WS + '+')}, '', 'g')"
 
 
+def match_key_fast(x: str) -> str:
+    return f"translate(coalesce({x}, ''), {WS_SQL}, '')"
+
+
 def status(delta: str) -> str:
     return (f"CASE WHEN {delta} IS NULL THEN {q(STATUS_NEW)} "
             f"WHEN {delta} > 0 THEN {q(STATUS_UP)} || CAST({delta} AS VARCHAR) "

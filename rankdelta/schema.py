@@ -49,10 +49,15 @@ DAY_OFFSET_DAYS = 1
 WEEK_OFFSET_DAYS = 7
 LOCAL_TZ = "Asia/Seoul"    # wall-clock zone of capture times
 
-# Characters Python's str.isspace()/re "\s" treat as whitespace.  Java and RE2
-# "\s" are ASCII-only, so every pattern that stands for "\s" uses this class.
-WS = (r"[\t\n\x0b\f\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+# Code-point ranges Python's str.isspace()/re "\s" treat as whitespace.  Java
+# and RE2 "\s" are ASCII-only, so every pattern standing for "\s" uses this
+# set: as a character string (for trim/translate) and as a regex class.
+WS_RANGES = ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+             (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
+             (0x3000, 0x3000))
+WS_CHARS = "".join(chr(c) for lo, hi in WS_RANGES for c in range(lo, hi + 1))
+WS = "[" + "".join(f"\\x{{{lo:x}}}" if lo == hi else f"\\x{{{lo:x}}}-\\x{{{hi:x}}}"
+                   for lo, hi in WS_RANGES) + "]"
 # Python's "\d" on str is any Unicode decimal digit.
 DIGIT = r"\p{Nd}"
 
