@@ -7,6 +7,7 @@ by the chart size, never by the table.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,6 +154,9 @@ def digest(reports: DataFrame, annotated: DataFrame, chart_out: DataFrame,
     report has at most 2 + 1 + 1 + 7 + 1 + 1 + 5 lines, so gathering them
     with collect_list is bounded.
     """
+    # five branches below read the annotated rows and the chart-outs
+    annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
+    chart_out = chart_out.persist(StorageLevel.MEMORY_AND_DISK)
     r = reports.select(*REPORT_KEY)
     dl = day_label.select(*REPORT_KEY, F.col("label").alias("day_label"))
     wl = week_label.select(*REPORT_KEY, F.col("label").alias("week_label"))

@@ -1,0 +1 @@
+"""Incremental form of collect-then-report: new snapshot batches as a stream."""

@@ -1,0 +1,22 @@
+"""The incremental runner on two days of the day feed."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from rankdelta.plans import feeds
+from rankdelta.sources import snapshots as SN
+from rankdelta.streaming import incremental
+
+
+def test_stream_appends_and_reports(spark, sf_dir):
+    base = SN.scratch_path(spark, "stream")
+    src, table, report, ckpt = (os.path.join(base, x) for x in ("src", "table", "report", "ckpt"))
+    feed = feeds.feed_day(spark, sf_dir).filter(F.col("captured_at") < F.lit("2024-01-03").cast("timestamp_ntz"))
+    feed.write.mode("overwrite").parquet(src)
+    q = incremental.start(spark, src, table, report, ckpt)
+    q.awaitTermination(300)
+    assert SN.read_snapshots(spark, table).count() == feed.count()
+    rep = spark.read.parquet(report)
+    assert rep.count() > 0
+    assert set(r["status_day"][:1] for r in rep.select("status_day").distinct().collect()) >= {"신"}
