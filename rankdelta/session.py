@@ -30,9 +30,18 @@ def build_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    share_code(spark, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     return spark
 
 
+def share_code(spark: SparkSession, root: str) -> None:
+    """Let Python workers import this package from ``root`` (a path that executors see too)."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a scratch one only when unset."""
     sc = spark.sparkContext
