@@ -9,7 +9,7 @@ documents), so both totals stay exactly where they are while coordinates
 become 0 or 1.  The flight runs in blocks of bounded size; the at most two
 units that each block leaves undecided fly on together in the next round,
 until one block per source is left, whose last units a small landing problem
-rounds (the rounding nearest to both totals).
+rounds (nearest to both totals, words first).
 
 Only (key, source, size) rows move; texts are read once and stay where they are.
 """
@@ -111,8 +111,13 @@ def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
     return pi
 
 
-def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Round the last fractional units: words nearest their total first, then documents."""
+def land(pi: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Round the last fractional units, words nearest their total first, then documents.
+
+    One very large unit can be left, whose rounding alone would miss the total
+    by its size; units of the block that started fractional (``start``) are then
+    turned over, the best one at a time, as long as the total comes nearer.
+    """
     pi = pi.copy()
     left = np.flatnonzero((pi > EPS) & (pi < 1 - EPS))
     pi[(pi <= EPS)], pi[(pi >= 1 - EPS)] = 0.0, 1.0
@@ -120,6 +125,15 @@ def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
     best = min(itertools.product((0.0, 1.0), repeat=len(left)),
                key=lambda c: (abs(float(np.dot(c, size[left])) - want_s), abs(sum(c) - want_n), c))
     pi[left] = best
+    free = np.flatnonzero((start > EPS) & (start < 1 - EPS) & (size > 0))
+    error = float(start @ size) - float(pi @ size)  # words still missing
+    for _ in range(len(free)):
+        after = error - np.where(pi[free] > 0, -size[free], size[free])
+        i = int(np.argmin(np.abs(after))) if len(free) else -1
+        if i < 0 or abs(after[i]) >= abs(error):
+            break
+        error = float(after[i])
+        pi[free[i]] = 1.0 - pi[free[i]]
     return pi
 
 
@@ -130,8 +144,8 @@ def _fly(last: bool):
                               kind="mergesort", na_position="first")
         size, pi = pdf["size"].to_numpy(np.int64), pdf["pi"].to_numpy(float)
         seed = np.array([int(pdf["h"].iloc[0]) & 0x7FFFFFFFFFFFFFFF, len(pdf)], dtype=np.uint64)
-        pi = flight(pi, size, np.random.default_rng(seed))
-        return pdf.assign(pi=land(pi, size) if last else pi).drop(columns="block")
+        flown = flight(pi, size, np.random.default_rng(seed))
+        return pdf.assign(pi=land(flown, size, pi) if last else flown).drop(columns="block")
     return run
 
 
