@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdelta.llm import chat, lines, mixing, warc
+from rankdelta.llm import chat, lines, mixing, neardup, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -77,3 +77,24 @@ def op6(spark, sf_dir):
 def op10(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "n_copies")
+
+
+NEARDUP_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(array_to_string(ws[i:i + 4], ' '), least(len(ws), 5)) AS h
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS inter FROM s x JOIN s y ON x.h = y.h AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * inter >= 75 * (na.n + nb.n - inter)),
+e2 AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e2.b FROM r JOIN e2 ON r.b = e2.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.low AS component_id, d.doc_id = c.low AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS low FROM r GROUP BY a) c ON c.a = d.doc_id
+"""
+
+
+@query("op1_near_duplicates", NEARDUP_SQL)
+def op1(spark, sf_dir):
+    return neardup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
