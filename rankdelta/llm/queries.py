@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdelta.llm import chat, lines, mixing, neardup, warc
+from rankdelta.llm import chat, decontam, lines, mixing, neardup, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -98,3 +98,30 @@ FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS low FROM r
 @query("op1_near_duplicates", NEARDUP_SQL)
 def op1(spark, sf_dir):
     return neardup.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+DECONTAM_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(ws), 10) AS k, array_to_string(ws[o:o + least(len(ws), 10) - 1], ' ') AS win
+       FROM (SELECT item_id, ws, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS o FROM b WHERE len(ws) > 0)),
+ks AS (SELECT DISTINCT k FROM bw),
+dw AS (SELECT r, o, k, array_to_string(ws[o:o + k - 1], ' ') AS win
+       FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS o FROM d, ks WHERE len(ws) >= k)),
+h AS (SELECT r, o, k, item_id FROM dw JOIN bw USING (k, win)),
+hw AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(o, o + k)) AS p FROM h) GROUP BY r),
+hi AS (SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+       FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS i FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
+"""
+
+
+@query("op8_decontaminate", DECONTAM_SQL)
+def op8(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.contamination(docs, read(spark, sf_dir, "benchmark").select("item_id", "text")).drop("th")
