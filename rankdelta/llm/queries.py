@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdelta.llm import chat, decontam, lines, mixing, neardup, warc
+from rankdelta.llm import chat, decontam, lines, mixing, neardup, suffixes, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -125,3 +125,27 @@ FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)
 def op8(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return decontam.contamination(docs, read(spark, sf_dir, "benchmark").select("item_id", "text")).drop("th")
+
+
+REPEATS_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS t FROM documents),
+w AS (SELECT r, i, hash(hex(t[i:i + 399])) AS h FROM (SELECT r, t, unnest(range(1, octet_length(t) - 398)) AS i FROM d WHERE octet_length(t) >= 400)),
+x AS (SELECT r, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+o AS (SELECT r, i, max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM x),
+g AS (SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS k FROM o),
+s AS (SELECT r, k, min(i) AS a, max(i) + 400 AS b FROM g GROUP BY r, k),
+p AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS prev,
+             row_number() OVER (PARTITION BY r ORDER BY a DESC) = 1 AS last FROM s),
+c AS (SELECT p.r, count(*) AS n_spans, sum(b - a) AS n_removed,
+             string_agg(coalesce(hex(t[prev:a - 1]), '') || CASE WHEN last THEN coalesce(hex(t[b:octet_length(t)]), '') ELSE '' END, '' ORDER BY a) AS kept
+      FROM p JOIN d ON d.r = p.r GROUP BY p.r)
+SELECT doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(CASE WHEN n_spans IS NULL THEN t ELSE unhex(kept) END) AS kept_sha256
+FROM d LEFT JOIN c USING (r)
+"""
+
+
+@query("op9_suffix_dedup", REPEATS_SQL)
+def op9(spark, sf_dir):
+    out = suffixes.cut_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
