@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdelta.llm import chat, decontam, lines, mixing, neardup, suffixes, warc
+from rankdelta.llm import chat, decontam, lines, lm, mixing, neardup, suffixes, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -149,3 +149,8 @@ FROM d LEFT JOIN c USING (r)
 def op9(spark, sf_dir):
     out = suffixes.cut_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_lm_score")
+def op5(spark, sf_dir):
+    return lm.scores(read(spark, sf_dir, "documents").select("doc_id", "text"))
