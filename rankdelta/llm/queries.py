@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdelta.llm import chat, decontam, lines, lm, mixing, neardup, suffixes, warc
+from rankdelta.llm import chat, decontam, lines, lm, mixing, neardup, suffixes, toxicity, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -154,3 +154,12 @@ def op9(spark, sf_dir):
 @query("op5_lm_score")
 def op5(spark, sf_dir):
     return lm.scores(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op7_toxicity")
+def op7(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.with_scores(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic"), column="score")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % toxicity.FOLDS
+    return out.select("doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
