@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankdelta.llm import chat, decontam, lines, lm, mixing, neardup, suffixes, toxicity, warc
+from rankdelta.llm import chat, decontam, lines, lm, mixing, neardup, neighbours, suffixes, toxicity, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 
 
@@ -163,3 +163,8 @@ def op7(spark, sf_dir):
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % toxicity.FOLDS
     return out.select("doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_nearest_neighbours")
+def op2(spark, sf_dir):
+    return neighbours.nearest(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda i: i % 50 == 0)
