@@ -65,6 +65,12 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fitting(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """``df`` (written first) marked for a broadcast if it has at most ``rows`` rows; else as it is, for a shuffled join."""
+    df = written(df, name)
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, nothing else (``lower`` alone would fold other letters too)."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))

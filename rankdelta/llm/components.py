@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rankdelta.llm.common import written
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    n, s = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return n, int(s or 0)
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The table of edges and its state (rows, sum of hashes), observed while it is written."""
+    seen = Observation()
+    e = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")), "cc")
+    return e, (seen.get["n"], seen.get["s"])
 
 
 def large_star(edges: DataFrame) -> DataFrame:
     """Each node hands the smallest of its neighbourhood to its larger neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def small_star(edges: DataFrame) -> DataFrame:
@@ -33,13 +35,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     Neighbourhoods are never gathered: a step is a minimum per node (summed
     before the shuffle) and an equi-join, which Spark splits where a hub's edges
-    are too many for a task.  Every step is written to the shared folder.
+    are too many for a task.  Every round is written to the shared folder; the
+    table's state, observed on the way, tells when nothing moves any more.
     """
-    e = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc")
-    state = _state(e)
+    e, state = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while state[0]:
-        e = written(small_star(written(large_star(e), "cc")), "cc")
-        new = _state(e)
+        e, new = _written(small_star(large_star(e)))
         if new == state:
             break
         state = new

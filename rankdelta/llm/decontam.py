@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankdelta.llm.common import ascii_lower, row_key, written
+from rankdelta.llm.common import ascii_lower, fitting, row_key, written
 
 SPAN = 10
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -141,6 +141,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
     """``docs`` without the rows in which a benchmark window occurs."""
     bad = occurrences(docs, benchmark, span).select(F.col("doc_id").alias("_dc_id"), F.col("th").alias("_dc_th")).distinct()
+    bad = fitting(bad, 2_000_000, "dc-bad")  # ids only
     base = docs.withColumn("_dc_key", row_key(F.col("doc_id"), F.col("text")))
     return base.join(bad, (F.col("_dc_key") == F.col("_dc_th")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_dc_id")),
                      "left_anti").drop("_dc_key")

@@ -8,10 +8,12 @@ pair shares none of the 64 buckets with probability 4e-6.
 All pairs of a bucket are never listed.  Each bucket first links its members
 to its smallest one; these pairs are verified (minima first, then the full
 sets) and connected components are formed.  Only buckets whose members are
-still in different components need more: there the members of different
-components compare their minima inside the task, and pairs that pass are
-verified on the full sets.  So a group of near copies costs one pair per
-member, and no link between candidates is lost.
+still in different components need more: there members of different components
+compare their minima inside a task, which tells the components that can be
+linked at all; the members of those are then compared on their full sets, again
+inside tasks of bounded size.  Both steps give a forest over components, never
+the pairs.  So a group of near copies costs one pair per member, and no link
+between candidates is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankdelta.llm.common import utf8, written
+from rankdelta.llm.common import fitting, utf8, written
 from rankdelta.llm.components import components
 
 WORDS = 5
@@ -183,58 +185,111 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def full_sets(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles): the full sets of the given documents, made from their texts."""
+    nodes = fitting(nodes.distinct(), BROADCAST_ROWS, "nd-nodes")  # ids only
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), utf8(F.col("text")).alias("_text"))
+    return written(texts.join(nodes, "node", "left_semi").mapInArrow(_sets, "node long, shingles binary"), "nd-sets")
+
+
 def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) whose full shingle sets are linked."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    nodes = written(nodes, "nd-nodes")
-    if nodes.count() <= BROADCAST_ROWS:  # ids only; beyond that the join shuffles
-        nodes = F.broadcast(nodes)
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), utf8(F.col("text")).alias("_text"))
-    sets = written(texts.join(nodes, "node", "left_semi").mapInArrow(_sets, "node long, shingles binary"), "nd-sets")
+    sets = full_sets(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))), docs)
     one = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     two = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     return pairs.select("a", "b").join(one, "b").join(two, "a").mapInArrow(_linked, "a long, b long").distinct()
 
 
-def _compare(batches):
-    """Within each (bucket, cell): pairs of different components whose sketches agree enough."""
-    def pairs(rows):
-        node = np.array([r[0] for r in rows], np.int64)
-        comp = np.array([r[1] for r in rows], np.int64)
+class _Sets:
+    """Union-find over component ids."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def union(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+
+
+def _compare(full: bool):
+    """Within each (grp, cell): pairs of different components whose sketches agree enough.
+
+    Emits a forest only, in ids of components: a pair whose components already
+    hang together through earlier pairs of the cell says nothing new.  ``full``:
+    pairs must be linked on their full sets, not only agree on sketches.
+    """
+    def forest(rows):
+        comp = [r[1] for r in rows]
         size = np.array([r[2] for r in rows], np.int64)
         sk = np.frombuffer(b"".join(r[3] for r in rows), np.uint8).reshape(-1, SKETCH)
-        a, b, same = [], [], []
+        sets = [_set(r[4]) for r in rows] if full else []
+        joined, out = _Sets(), []
         for i in range(len(rows) - 1):
-            j = np.flatnonzero((comp[i + 1:] != comp[i]) & (4 * size[i + 1:] >= 3 * size[i]) & (4 * size[i] >= 3 * size[i + 1:])) + i + 1
-            if len(j):
-                s = (sk[j] == sk[i]).mean(axis=1)
-                ok = (s - 1 / 256) / (1 - 1 / 256) >= PASS
-                a += np.minimum(node[i], node[j[ok]]).tolist()
-                b += np.maximum(node[i], node[j[ok]]).tolist()
-                same += s[ok].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(same, pa.float64())], ["a", "b", "same"])
-
-    key, rows = None, []
-    for batch in batches:
-        for k, cell, *row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "cell", "node", "component", "n_shingles", "sketch")), strict=True):
-            if key != (k, cell):
-                if len(rows) > 1:
-                    yield pairs(rows)
-                key, rows = (k, cell), []
-            rows.append(row)
-    if len(rows) > 1:
-        yield pairs(rows)
-
-
-def _cells(rows: DataFrame) -> DataFrame:
-    """Buckets above BLOCK members are compared in cells, each of two of its parts."""
-    size = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(2 * F.col("_n") / BLOCK).cast("int")
-    rows = rows.join(size, "bucket").withColumn("_k", F.when(F.col("_n") <= BLOCK, 1).otherwise(parts))
-    own = F.pmod(F.xxhash64("node"), F.col("_k")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_k") - 1))
-    rows = rows.withColumn("_p", own).withColumn("_q", other)
-    return rows.withColumn("cell", F.least("_p", "_q") * F.col("_k") + F.greatest("_p", "_q")).drop("_n", "_k", "_p", "_q")
+            roots = np.array([joined.find(c) for c in comp[i:]], np.int64)
+            j = np.flatnonzero((roots != roots[0]) & (4 * size[i:] >= 3 * size[i]) & (4 * size[i] >= 3 * size[i:])) + i
+            if not len(j):
+                continue
+            same = (sk[j] == sk[i]).mean(axis=1)
+            j = j[(same - 1 / 256) / (1 - 1 / 256) >= PASS]
+            if full and len(j):
+                lengths = np.array([len(sets[k]) for k in j])
+                flat = np.concatenate([sets[k] for k in j])
+                at = np.searchsorted(sets[i], flat).clip(max=len(sets[i]) - 1)
+                both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.concatenate(([0], np.cumsum(lengths)[:-1])))
+                j = j[100 * both >= 75 * (len(sets[i]) + lengths - both)]
+            for k in j.tolist():
+                if joined.find(comp[i]) != joined.find(comp[k]):
+                    joined.union(comp[i], comp[k])
+                    out.append((comp[i], comp[k]))
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+
+    columns = ["grp", "cell", "node", "component", "n_shingles", "sketch", *(["shingles"] if full else [])]
+
+    def run(batches):
+        key, rows = None, []
+        for batch in batches:
+            for g, cell, *row in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                if key != (g, cell):
+                    if len(rows) > 1:
+                        yield forest(rows)
+                    key, rows = (g, cell), []
+                rows.append(row)
+        if len(rows) > 1:
+            yield forest(rows)
+    return run
+
+
+def _cells(rows: DataFrame, block: int) -> DataFrame:
+    """Members of a group dealt into cells of about ``block``, so that each pair to compare meets in one.
+
+    The members of the group's largest component need not meet each other: only
+    the others (usually few) are paired with all.
+    """
+    half = block // 2
+    per = rows.groupBy("grp", "component").agg(F.count(F.lit(1)).alias("n"))
+    top = (per.groupBy("grp").agg(F.max(F.struct("n", "component")).alias("_top"), F.sum("n").alias("_all"))
+           .filter("_all > _top.n").select("grp", F.col("_top.component").alias("_big"), "_all",
+                                           F.ceil(F.col("_top.n") / half).alias("_kb"), F.ceil((F.col("_all") - F.col("_top.n")) / half).alias("_ks")))
+    rows = rows.join(top, "grp")
+    h = F.abs(F.xxhash64("node") % F.lit(1 << 40))
+    small, q = h % F.col("_ks"), h % F.col("_kb")
+    others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_ks") - 1),
+                         lambda x: F.least(x, small) * F.col("_ks") + F.greatest(x, small))
+    base = F.col("_ks") * F.col("_ks")
+    with_big = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_kb") - 1), lambda x: base + small * F.col("_kb") + x)
+    of_big = F.transform(F.sequence(F.lit(0).cast("long"), F.col("_ks") - 1), lambda x: base + x * F.col("_kb") + q)
+    cell = (F.when(F.col("_all") <= block, F.array(F.lit(0).cast("long")))
+            .when(F.col("component") == F.col("_big"), of_big).otherwise(F.concat(others, with_big)))
+    return rows.withColumn("cell", F.explode(cell)).drop("_big", "_all", "_kb", "_ks")
+
+
+def _dealt(cells: DataFrame) -> DataFrame:
+    return cells.repartition("grp", "cell").sortWithinPartitions("grp", "cell", "node")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -259,7 +314,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = members.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("top")).filter("leader < top")
     # only buckets of several documents go on
     shared = written(members.join(stars.drop("top"), "bucket"), "nd-buckets")
-    marks = components(links)
+    # copies lie in stars already: their smallest holder is their component so far
+    marks = links.groupBy("a").agg(F.min("b").alias("component")).withColumnRenamed("a", "node")
     star = shared.filter("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     star = _apart(star, marks)
     one = have.select("doc_id", "sketch", "n_shingles").distinct()
@@ -272,16 +328,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = written(links.union(verified(first, docs)), "nd-links")
     marks = components(links)
 
-    rest = _apart(passed.select("a", "b").join(first, ["a", "b"], "left_anti"), marks)
-    lab = marks.select("node", F.col("component"))
-    labelled = shared.select("bucket", "node").join(lab, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("bucket")
-    open_ = labelled.join(mixed, "bucket", "left_semi").join(one.withColumnRenamed("doc_id", "node"), "node")
-    more = (_cells(open_).repartition("bucket", "cell").sortWithinPartitions("bucket", "cell", "node")
-            .mapInArrow(_compare, "a long, b long, same double").select("a", "b").distinct())
-    rest = written(rest.union(more).distinct().join(first, ["a", "b"], "left_anti"), "nd-rest")
-    if rest.take(1):
-        marks = components(written(links.union(verified(rest, docs)), "nd-links"))
+    # buckets that still hold several components: which components can be linked at all?
+    labelled = shared.select(F.col("bucket").alias("grp"), "node").join(marks, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("grp")
+    open_ = written(labelled.join(mixed, "grp", "left_semi"), "nd-open")
+    some_open = open_.select("node").distinct().join(one.withColumnRenamed("doc_id", "node"), "node")
+    likely = (_dealt(_cells(open_.join(some_open, "node"), BLOCK)).mapInArrow(_compare(False), "a long, b long"))
+    clusters = components(likely)
+    # their members meet in cells of their cluster and are compared on the full sets
+    members = (open_.select("node", "component").distinct()
+               .join(clusters.select(F.col("node").alias("component"), F.col("component").alias("grp")), "component"))
+    members = written(members, "nd-members")
+    if members.take(1):
+        full = members.join(some_open, "node").join(full_sets(members.select("node"), docs), "node")
+        more = written(_dealt(_cells(full, BLOCK // 2)).mapInArrow(_compare(True), "a long, b long"), "nd-more")
+        if more.take(1):
+            marks = components(links.union(more))
 
     out = signed.select("doc_id", "n_shingles").join(
         marks.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
@@ -300,4 +362,5 @@ def _apart(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group of near duplicates (the smallest doc_id)."""
     gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_nd_id")).distinct()
+    gone = fitting(gone, BROADCAST_ROWS, "nd-gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["_nd_id"], "left_anti")
