@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from oracle_check import compare, duck  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from rankdelta.plans.registry import load_all  # noqa: E402
 
-QUERIES = queries()
-ORACLE = oracle_sql()
+QUERIES = {k: q.fn for k, q in load_all().items()}
+ORACLE = {k: q.oracle for k, q in load_all().items() if q.oracle}
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
