@@ -1,7 +1,7 @@
 """Snapshot-shaped feeds derived from the driver tables (FIXTURES.md section 4).
 
 Every feed is a plain DataFrame plan over the given parquet tables, so its
-work grows with them.  The DuckDB twins live in ``plans/oracle.py``.
+work grows with them.  The DuckDB twins live in ``plans/sqlfrag.py``.
 """
 
 from __future__ import annotations
@@ -13,18 +13,22 @@ from rankdelta.functions.status import day_start, plus_hours
 from rankdelta.session import table  # noqa: F401  (re-exported for queries)
 
 
+USERS_PER_CHANNEL = 5
+
+
 def _dec_text(c: str) -> Column:
     return F.col(c).cast("decimal(18,2)").cast("string")
 
 
 def _ranked_events(spark: SparkSession, sf_dir: str, capture: Column, *,
-                   created_from_slot: bool = False, drop_days_mod5: bool = False,
+                   created_from_slot: bool = False, sparse: bool = False,
                    unique_names: bool = True) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    if drop_days_mod5:
-        ev = ev.filter(F.dayofmonth("ts") % 5 != 0)
+    channel = F.col("event_type")
+    if sparse:  # few users each, so that whole days go by without a snapshot
+        channel = F.concat(channel, F.lit("-"), F.floor(F.col("user_id") / USERS_PER_CHANNEL).cast("string"))
     grouped = ev.groupBy(
-        F.col("event_type").alias("channel"), capture.alias("captured_at"), "user_id"
+        channel.alias("channel"), capture.alias("captured_at"), "user_id"
     ).agg(
         F.min("event_id").alias("id"),
         F.sum(F.col("value").cast("decimal(18,2)")).alias("score"),
@@ -62,10 +66,11 @@ def feed_day(spark: SparkSession, sf_dir: str, unique_names: bool = True) -> Dat
 
 
 def feed_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four 6-hour snapshots a day, created_at = last event of the slot;
-    days 5, 10, ... removed so baselines must fall back."""
+    """Four 6-hour snapshots a day of channels of a few users each, created_at =
+    last event of the slot.  Many slots and some days of a channel hold no event,
+    so baselines must fall back."""
     capture = plus_hours(day_start("ts"), F.floor(F.hour("ts") / 6) * 6)
-    return _ranked_events(spark, sf_dir, capture, created_from_slot=True, drop_days_mod5=True)
+    return _ranked_events(spark, sf_dir, capture, created_from_slot=True, sparse=True)
 
 
 def feed_half(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,12 +168,12 @@ def feed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purge_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshot rows with natural duplicates on the purge key."""
+    """Snapshot rows with natural duplicates on the purge key, many of them alike in several channels."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return ev.select(
         F.col("event_id").alias("id"),
         (F.col("event_id") % 100 + 1).cast("int").alias("rank"),
-        F.col("event_type").alias("brand"),
+        F.concat(F.lit("Brand"), (F.col("user_id") % 10).cast("string")).alias("brand"),
         F.col("user_id").cast("string").alias("product"),
         F.floor(F.hour("ts") / 6).cast("string").alias("old_price"),
         F.floor(F.col("value") / 50).cast("string").alias("price"),

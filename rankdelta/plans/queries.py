@@ -23,7 +23,7 @@ CO_COLS = "channel, captured_at, brand, product, brand_key, product_key, prev_ra
 
 # Report parameters for the event-derived feeds: "$" prices on two channels,
 # even-numbered brands as the watch-list of the half-day feed.
-EVENT_PARAMS = ReportParams(dollar_channels=("click", "purchase"))
+EVENT_PARAMS = ReportParams(dollar_channels=("click-0", "purchase-1"))
 HALF_PARAMS = ReportParams(watch_brands=feeds.watch_brands_even(), dollar_channels=("click", "purchase"))
 
 
@@ -177,7 +177,7 @@ def rank_report_chart_out(spark, d):
 
 _TOP_SQL = f"""
 SELECT channel, captured_at, pos, rank, brand, product,
-       CASE WHEN channel IN ('click', 'purchase') AND price IS NOT NULL THEN '$' || price ELSE price END AS price,
+       CASE WHEN channel IN ('click-0', 'purchase-1') AND price IS NOT NULL THEN '$' || price ELSE price END AS price,
        coalesce(status_day, '-') AS status_day, coalesce(status_week, '-') AS status_week, '' AS remark
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY channel, captured_at
              ORDER BY rank, brand_key, product_key, prev_rank_day NULLS FIRST, prev_rank_week NULLS FIRST) AS INTEGER) AS pos
@@ -497,24 +497,25 @@ from rankdelta.sources import listing as L  # noqa: E402
 
 _SEQ_SQL = f"""
 SELECT page_id, url, split_part(split_part(url, '?', 1), '#', 1) AS base_url,
-       regexp_extract(url, '^[A-Za-z]+://[^/]+/([a-z]{{2}})/', 1) AS listing,
+       regexp_extract(url, '^[A-Za-z]+://([^/]+/[a-z]{{2}})/', 1) AS listing,
        TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\\p{{Nd}}+)', 1), '') AS INTEGER) AS page_param,
        coalesce(TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\\p{{Nd}}+)', 1), '') AS INTEGER), 1) AS page_no
 FROM pages"""
-_ITEM = S.q(L.ITEM_RE)
+_CARDS_SQL = f"""
+SELECT page_id, listing, page_no, unnest(l) AS item, unnest(range(1, len(l) + 1)) AS position
+FROM (SELECT s.*, regexp_extract_all(p.html, '(?s)<li(?:\\s[^>]*)?>(.*?)</li>', 1) AS l
+      FROM ({_SEQ_SQL}) s JOIN pages p ON s.page_id = p.page_id) t"""
 _ITEMS_SQL = f"""
 SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position,
        regexp_extract(item, 'href="([^"]*)"', 1) AS href,
        regexp_extract(item, 'title="([^"]*)"', 1) AS title_attr,
        regexp_extract(item, '(?s)<b>([^<]*)</b>', 1) AS inner_text,
        regexp_extract(item, '(?s)>([^<>]*)</a>', 1) AS raw_title
-FROM (SELECT s.page_id, s.listing, s.page_no, unnest(l) AS item, unnest(range(1, len(l) + 1)) AS position
-      FROM ({_SEQ_SQL}) s JOIN (SELECT page_id, regexp_extract_all(html, {_ITEM}, 1) AS l FROM pages) p USING (page_id)) t"""
-_SLOTS_SQL = f"""
-SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position, (l[position] IS NOT NULL) AS found,
-       coalesce(regexp_extract(l[position], '(?s)>([^<>]*)</a>', 1), '') AS name
-FROM ({_SEQ_SQL}) s JOIN (SELECT page_id, regexp_extract_all(html, {_ITEM}, 1) AS l FROM pages) p USING (page_id),
-     (SELECT unnest(range(1, {L.SLOTS_PER_PAGE + 1})) AS position) k"""
+FROM ({_CARDS_SQL}) t"""
+_NAMED_SQL = f"""
+SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position, regexp_matches(item, '(?s)>[^<>]*</a>') AS found,
+       regexp_extract(item, '(?s)>([^<>]*)</a>', 1) AS name
+FROM ({_CARDS_SQL}) t"""
 
 
 def _ranked_sql(src: str, limit: int = 100, order: str = "page_no, page_id, position") -> str:
@@ -568,7 +569,7 @@ def rank_listing(spark, d):
 
 
 @query("rank_listing_nonblank", oracle=f"""
-SELECT listing, rank, page_id, position, name FROM {_ranked_sql(f"SELECT * FROM ({_SLOTS_SQL}) z WHERE name <> ''")} r""",
+SELECT listing, rank, page_id, position, name FROM {_ranked_sql(f"SELECT * FROM ({_NAMED_SQL}) z WHERE name <> ''")} r""",
        ids=("FLT-4",))
 def rank_listing_nonblank(spark, d):
     return L.rank_nonblank(feeds.table(spark, d, "pages"))
@@ -582,7 +583,7 @@ SELECT listing, rank, page_id, position,
        CASE WHEN NOT found THEN 'N/A' ELSE {_SB} END AS brand,
        CASE WHEN NOT found THEN 'N/A' ELSE {_SP} END AS product,
        NOT found AS sentinel
-FROM {_ranked_sql(_SLOTS_SQL)} r""", ids=("PRJ-8",))
+FROM {_ranked_sql(_NAMED_SQL)} r""", ids=("PRJ-8",))
 def sentinel_rows(spark, d):
     return L.with_sentinels(feeds.table(spark, d, "pages"))
 
@@ -595,12 +596,12 @@ import datetime as _dt  # noqa: E402
 from rankdelta.functions import status as ST  # noqa: E402
 from rankdelta.sources import snapshots as SN  # noqa: E402
 
-SCAN_CHANNEL, SCAN_START, SCAN_END = "click", _dt.datetime(2024, 1, 8), _dt.datetime(2024, 1, 15)
+SCAN_CHANNEL, SCAN_START, SCAN_END = "click-0", _dt.datetime(2024, 1, 8), _dt.datetime(2024, 1, 15)
 
 
 @query("scan_day_range", oracle=f"""
 SELECT {SNAP} FROM {S.FEED_SLOT} f
-WHERE channel = 'click' AND captured_at >= TIMESTAMP '2024-01-08 00:00:00' AND captured_at < TIMESTAMP '2024-01-15 00:00:00'""",
+WHERE channel = 'click-0' AND captured_at >= TIMESTAMP '2024-01-08 00:00:00' AND captured_at < TIMESTAMP '2024-01-15 00:00:00'""",
        ids=("SRC-5", "FLT-3"))
 def scan_day_range(spark, d):
     return SN.scan(feeds.feed_slot(spark, d), SCAN_CHANNEL, SCAN_START, SCAN_END)
@@ -632,7 +633,7 @@ def batch_ids(spark, d):
 
 @query("purge_duplicates", oracle=f"""
 SELECT {SNAP} FROM {S.PURGE_INPUT} f
-WHERE id IN (SELECT min(id) FROM {S.PURGE_INPUT} g GROUP BY brand, product, old_price, price, captured_at)""",
+WHERE id IN (SELECT min(id) FROM {S.PURGE_INPUT} g GROUP BY channel, brand, product, old_price, price, captured_at)""",
        ids=("SRC-10", "A3"))
 def purge_duplicates(spark, d):
     return SN.purge_duplicates(feeds.purge_input(spark, d))

@@ -76,17 +76,17 @@ def day(x: str) -> str:
 # Feeds (FIXTURES.md section 4)
 # ---------------------------------------------------------------------------
 
-def _ranked_events(capture: str, *, slot_created: bool = False, drop_mod5: bool = False,
+def _ranked_events(capture: str, *, slot_created: bool = False, sparse: bool = False,
                    unique_names: bool = True) -> str:
-    where = "WHERE dayofmonth(ts) % 5 <> 0" if drop_mod5 else ""
+    channel = "event_type || '-' || CAST(user_id // 5 AS VARCHAR)" if sparse else "event_type"
     created = ("max(last_ts) OVER (PARTITION BY channel, captured_at)" if slot_created
                else "captured_at")
     product = ("p.p_name || ' #' || CAST(p.p_partkey AS VARCHAR)" if unique_names else "p.p_name")
     return f"""(
   WITH g AS (
-    SELECT event_type AS channel, {capture} AS captured_at, user_id,
+    SELECT {channel} AS channel, {capture} AS captured_at, user_id,
            min(event_id) AS id, sum(CAST(value AS DECIMAL(18,2))) AS score, max(ts) AS last_ts
-    FROM events {where}
+    FROM events
     GROUP BY 1, 2, 3),
   r AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY channel, captured_at
@@ -102,7 +102,7 @@ def _ranked_events(capture: str, *, slot_created: bool = False, drop_mod5: bool
 FEED_DAY = _ranked_events(day("ts"))
 FEED_DAY_DUP = _ranked_events(day("ts"), unique_names=False)
 FEED_SLOT = _ranked_events(f"{day('ts')} + INTERVAL 1 HOUR * (CAST(floor(hour(ts) / 6) AS INTEGER) * 6)",
-                           slot_created=True, drop_mod5=True)
+                           slot_created=True, sparse=True)
 FEED_HALF = _ranked_events(f"{day('ts')} + INTERVAL 1 HOUR * (CAST(floor(hour(ts) / 12) AS INTEGER) * 12)")
 
 FEED_DIRTY = f"""(
@@ -153,7 +153,7 @@ FEED_MONTH = """(
   FROM r)"""
 
 PURGE_INPUT = f"""(
-  SELECT event_id AS id, CAST(event_id % 100 + 1 AS INTEGER) AS rank, event_type AS brand,
+  SELECT event_id AS id, CAST(event_id % 100 + 1 AS INTEGER) AS rank, 'Brand' || CAST(user_id % 10 AS VARCHAR) AS brand,
          CAST(user_id AS VARCHAR) AS product, CAST(CAST(floor(hour(ts) / 6) AS BIGINT) AS VARCHAR) AS old_price,
          CAST(CAST(floor(value / 50) AS BIGINT) AS VARCHAR) AS price, {day('ts')} AS captured_at,
          event_type AS channel, ts AS created_at

@@ -79,8 +79,8 @@ SNAPSHOT_COLUMNS = tuple(f.name for f in SNAPSHOT_SCHEMA.fields)
 
 # Keys rows are matched on between a snapshot and its baseline.
 MATCH_KEYS = ("channel", "brand_key", "product_key")
-# Columns of the table-wide duplicate purge (rank and channel are not in it).
-PURGE_KEYS = ("brand", "product", "old_price", "price", "captured_at")
+# Columns of the duplicate purge within a channel (rank is not in it).
+PURGE_KEYS = ("channel", "brand", "product", "old_price", "price", "captured_at")
 
 
 @dataclass(frozen=True)

@@ -1,7 +1,8 @@
 """Stored listing pages -> ordered cards -> ranked rows (SRC-1..4, PRJ-8, W1, FLT-4).
 
-A *listing* is the language segment of a page URL (``/en/``); its pages are
-ordered by the ``page=`` parameter, then page id, and cards by position.
+A *listing* is the host and language segment of a page URL
+(``blog.example.com/en``); its pages are ordered by the ``page=`` parameter,
+then page id, and cards by position.  Every card that a page holds is read.
 Ranks are running numbers across pages, capped at ``limit``; the cap is a
 ``row_number() <= n`` filter that Spark plans as a WindowGroupLimit, so each
 map task forwards at most ``n`` cards per listing to the shuffle.
@@ -15,39 +16,48 @@ from pyspark.sql import functions as F
 from rankdelta.functions.text import clean_title, clean_title_plain, first_non_blank, split_brand_product
 from rankdelta.schema import CRAWL_LIMIT, DIGIT
 
-ITEM_RE = r"(?s)<li>(.*?)</li>"
-SLOTS_PER_PAGE = 12  # fixed card slots read per listing page
+ITEM_RE = r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"  # a card's tag may carry attributes
+LINK_RE = r"(?s)>([^<>]*)</a>"
 
 
-def page_sequence(pages: DataFrame) -> DataFrame:
-    """SRC-4: base URL, listing key and page number of each stored page."""
+def _sequenced(pages: DataFrame, *more: str) -> DataFrame:
     url = F.col("url")
     page_param = F.nullif(F.regexp_extract(url, rf"[?&]page=({DIGIT}+)", 1), F.lit("")).try_cast("int")
     return pages.select(
         "page_id", "url",
         F.substring_index(F.substring_index(url, "?", 1), "#", 1).alias("base_url"),
-        F.regexp_extract(url, r"^[A-Za-z]+://[^/]+/([a-z]{2})/", 1).alias("listing"),
+        F.regexp_extract(url, r"^[A-Za-z]+://([^/]+/[a-z]{2})/", 1).alias("listing"),
         page_param.alias("page_param"),
         F.coalesce(page_param, F.lit(1)).alias("page_no"),
+        *more,
     )
 
 
+def page_sequence(pages: DataFrame) -> DataFrame:
+    """SRC-4: base URL, listing key and page number of each stored page."""
+    return _sequenced(pages)
+
+
+def _cards(pages: DataFrame) -> DataFrame:
+    """Every card of every page, from one scan of the pages."""
+    found = F.regexp_extract_all("html", F.lit(ITEM_RE), F.lit(1))
+    cards = _sequenced(pages, "html").select("page_id", "listing", "page_no", F.posexplode(found).alias("pos", "item"))
+    return cards.withColumn("position", (F.col("pos") + 1).cast("int")).drop("pos")
+
+
 def _card_fields(item: Column) -> dict[str, Column]:
     return {
         "href": F.regexp_extract(item, r'href="([^"]*)"', 1),
         "title_attr": F.regexp_extract(item, r'title="([^"]*)"', 1),
         "inner_text": F.regexp_extract(item, r"(?s)<b>([^<]*)</b>", 1),
-        "raw_title": F.regexp_extract(item, r"(?s)>([^<>]*)</a>", 1),
+        "raw_title": F.regexp_extract(item, LINK_RE, 1),
     }
 
 
 def listing_items(pages: DataFrame) -> DataFrame:
     """SRC-1: every card of every page with its 1-based position."""
-    seq = page_sequence(pages).join(pages.select("page_id", "html"), "page_id")
-    items = seq.select("page_id", "listing", "page_no",
-                       F.posexplode(F.regexp_extract_all("html", F.lit(ITEM_RE), F.lit(1))).alias("pos", "item"))
-    return items.select("page_id", "listing", "page_no", (F.col("pos") + 1).cast("int").alias("position"),
-                        *[c.alias(n) for n, c in _card_fields(F.col("item")).items()])
+    return _cards(pages).select("page_id", "listing", "page_no", "position",
+                                *[c.alias(n) for n, c in _card_fields(F.col("item")).items()])
 
 
 def with_fallback_name(items: DataFrame) -> DataFrame:
@@ -76,28 +86,21 @@ def rank_listing(pages: DataFrame, limit: int = CRAWL_LIMIT) -> DataFrame:
                          brand.alias("brand"), product.alias("product"))
 
 
-def slot_cards(pages: DataFrame, slots: int = SLOTS_PER_PAGE) -> DataFrame:
-    """Fixed slots 1..``slots`` per page; a slot past the page's cards is empty."""
-    seq = page_sequence(pages).join(pages.select("page_id", "html"), "page_id")
-    arr = seq.select("page_id", "listing", "page_no",
-                     F.regexp_extract_all("html", F.lit(ITEM_RE), F.lit(1)).alias("items"))
-    slotted = arr.select("page_id", "listing", "page_no", "items",
-                         F.explode(F.sequence(F.lit(1), F.lit(slots))).alias("position"))
-    item = F.try_element_at(F.col("items"), F.col("position"))
-    return slotted.select("page_id", "listing", "page_no", F.col("position").cast("int").alias("position"),
-                          item.isNotNull().alias("found"),
-                          F.coalesce(F.regexp_extract(item, r"(?s)>([^<>]*)</a>", 1), F.lit("")).alias("name"))
+def named_cards(pages: DataFrame) -> DataFrame:
+    """Cards with their link text; ``found`` is false where a card has none to read."""
+    return _cards(pages).select("page_id", "listing", "page_no", "position", F.col("item").rlike(LINK_RE).alias("found"),
+                                F.regexp_extract("item", LINK_RE, 1).alias("name"))
 
 
 def rank_nonblank(pages: DataFrame, limit: int = CRAWL_LIMIT) -> DataFrame:
     """FLT-4: blank names are skipped *before* ranks are given."""
-    return rank_cards(slot_cards(pages).filter(F.col("name") != ""), limit) \
+    return rank_cards(named_cards(pages).filter(F.col("name") != ""), limit) \
         .select("listing", "rank", "page_id", "position", "name")
 
 
 def with_sentinels(pages: DataFrame, marker: str = "N/A", limit: int = CRAWL_LIMIT) -> DataFrame:
-    """PRJ-8: a slot that cannot be read still takes a rank, as a marker row."""
-    cards = rank_cards(slot_cards(pages), limit)
+    """PRJ-8: a card that cannot be read still takes a rank, as a marker row."""
+    cards = rank_cards(named_cards(pages), limit)
     brand, product = split_brand_product(F.col("name"), clean_title_plain)
     failed = ~F.col("found")
     return cards.select(

@@ -11,7 +11,7 @@ import datetime as dt
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), f"rankdelta-{name}-{uuid.uuid4().hex}")
 
 
+def ntz(value: dt.datetime | str) -> Column:
+    """A wall-clock literal; it goes through text, so the host's time zone plays no part."""
+    return F.lit(value if isinstance(value, str) else value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def ensure_snapshot_table(spark: SparkSession, path: str) -> None:
     """SRC-7: create an empty partitioned table when none exists (no-op otherwise)."""
     empty = spark.createDataFrame([], TABLE_SCHEMA)
@@ -51,13 +56,13 @@ def scan(df: DataFrame, channel: str | None = None, start=None, end=None,
     if channel is not None:
         out = out.filter(F.col("channel") == channel)
     if start is not None:
-        out = out.filter(F.col("captured_at") >= F.lit(start).cast("timestamp_ntz"))
+        out = out.filter(F.col("captured_at") >= ntz(start))
         if "capture_date" in df.columns:
-            out = out.filter(F.col("capture_date") >= F.lit(start).cast("timestamp_ntz").cast("date"))
+            out = out.filter(F.col("capture_date") >= ntz(start).cast("date"))
     if end is not None:
-        out = out.filter(F.col("captured_at") < F.lit(end).cast("timestamp_ntz"))
+        out = out.filter(F.col("captured_at") < ntz(end))
         if "capture_date" in df.columns:
-            out = out.filter(F.col("capture_date") <= F.lit(end).cast("timestamp_ntz").cast("date"))
+            out = out.filter(F.col("capture_date") <= ntz(end).cast("date"))
     return out.select(*columns) if columns else out
 
 
@@ -69,7 +74,7 @@ def stamp_batch(df: DataFrame, start_id: int, created_at: dt.datetime | None = N
     Ids follow ``order``; its first two columns (channel, capture time) form
     the snapshot groups the numbering is distributed over.
     """
-    stamp = (F.lit(created_at).cast("timestamp_ntz") if created_at is not None
+    stamp = (ntz(created_at) if created_at is not None
              else F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_TZ), F.current_timestamp().cast("timestamp_ntz")))
     numbered = grouped_row_number(df, list(order[:2]), list(order[2:]), name="_new_id", start=start_id)
     return (numbered.withColumn("id", F.col("_new_id").cast("long")).drop("_new_id")
@@ -98,29 +103,30 @@ def append_snapshot(spark: SparkSession, df: DataFrame, path: str,
 
 
 def purge_duplicates(df: DataFrame, keys: tuple[str, ...] = PURGE_KEYS) -> DataFrame:
-    """SRC-10 / A3: keep the smallest id per key (NULLs group together).
+    """SRC-10 / A3: keep the smallest id per key (NULLs group together); ids are unique.
 
-    One aggregation: ``min_by`` carries the surviving row, and partial
-    aggregation collapses a hot key map-side before the shuffle, so a key
-    with a third of all rows still moves one row per map task.
+    The smallest ids come from a hash aggregate that is summed before the
+    shuffle, so a key with a third of all rows moves one row per map task; the
+    rows are then kept by a semi-join on the id.
     """
-    others = [c for c in df.columns if c not in keys and c != "id"]
-    kept = df.groupBy(*keys).agg(
-        F.min("id").alias("id"),
-        F.min_by(F.struct(*others), "id").alias("_row"))
-    return kept.select("id", *keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*df.columns)
+    first = df.groupBy(*keys).agg(F.min("id").alias("id")).select("id")
+    return df.join(first, "id", "left_semi")
 
 
 def purge_table(spark: SparkSession, path: str) -> None:
-    """Purge the table in place.
+    """Purge the table's days that hold duplicates; others are not rewritten.
 
-    The result is checkpointed first (reliable storage under
-    ``spark.checkpoint.dir``), which cuts the read of ``path`` out of the
-    lineage; then the table is rewritten.  A full rewrite rather than a
-    dynamic partition overwrite, because the key has no channel: a purge can
-    empty a (channel, day) partition, which a dynamic overwrite would leave.
+    Channel and capture time are part of the key, so a purge works within a
+    (channel, day) partition and never empties one.  The purged days are first
+    written beside the table, then swapped in partition by partition (dynamic
+    overwrite): a stop in between leaves each day either old or purged, and a
+    second run finishes the work.
     """
-    ensure_checkpoint_dir(spark)
     table = read_snapshots(spark, path)
-    purged = purge_duplicates(table).checkpoint(eager=True)
-    purged.write.mode("overwrite").partitionBy(*PARTITION_COLS).parquet(path)
+    touched = (table.groupBy(*PURGE_KEYS, "capture_date").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+               .select(*PARTITION_COLS).distinct())
+    match = table["channel"].eqNullSafe(touched["channel"]) & table["capture_date"].eqNullSafe(touched["capture_date"])
+    staged = scratch_path(spark, "purged")
+    purge_duplicates(table.join(touched, match, "left_semi")).write.partitionBy(*PARTITION_COLS).parquet(staged)
+    (spark.read.schema(TABLE_SCHEMA).parquet(staged).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path))
