@@ -7,10 +7,10 @@ window here is over metadata.  Rows are reached afterwards by equi-joins.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankdelta.functions.status import day_start, minus_days, plus_days, plus_hours
+from rankdelta.functions.status import day_start, minus_days, plus_hours
 from rankdelta.operators.clean import normalise_names
 from rankdelta.schema import BASELINE_ANCHOR_HOUR
 
@@ -26,27 +26,30 @@ def catalogue(rows: DataFrame) -> DataFrame:
             .groupBy("channel", "captured_at", "created_at").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def latest_per_day(rows: DataFrame) -> DataFrame:
-    """Per (channel, day) the latest capture time of that day.
+def latest_per_day(cat: DataFrame) -> DataFrame:
+    """Per (channel, day) the latest capture time of that day, from the catalogue.
 
     Output: channel, day, captured_at (the current snapshot of the day).
     """
-    cat = normalise_names(rows.select("channel", "captured_at"), ("channel",)).filter(F.col("captured_at").isNotNull())
-    return cat.groupBy("channel", day_start("captured_at").alias("day")).agg(F.max("captured_at").alias("captured_at"))
+    c = cat.filter(F.col("captured_at").isNotNull())
+    return c.groupBy("channel", day_start("captured_at").alias("day")).agg(F.max("captured_at").alias("captured_at"))
 
 
-def current_rows(rows: DataFrame, latest: DataFrame) -> DataFrame:
-    """Rows of the current snapshots (semi-join by channel and capture time)."""
-    norm = normalise_names(rows, ("channel",))
-    return norm.join(latest.select("channel", "captured_at"), ["channel", "captured_at"], "left_semi")
+def requests(latest: DataFrame, offsets: tuple[int, ...], run_at: Column | None = None) -> DataFrame:
+    """One baseline request per current snapshot and offset: channel, captured_at, offset_days, target_at.
 
+    The run time is the snapshot's own capture time, unless ``run_at`` is given.
+    """
+    rows = latest.select("channel", "captured_at", F.explode(F.array(*[F.lit(k) for k in offsets])).alias("offset_days"))
+    run = F.col("captured_at") if run_at is None else run_at
+    target = None
+    for k in offsets:
+        this = F.when(F.col("offset_days") == k, minus_days(run, k))
+        target = this if target is None else F.coalesce(target, this)
+    return rows.withColumn("target_at", target)
 
-def requests(latest: DataFrame, offset_days: int) -> DataFrame:
-    """One baseline request per current snapshot; run time = its capture time."""
-    return latest.select(
-        "channel", "captured_at",
-        minus_days(F.col("captured_at"), offset_days).alias("target_at"),
-    )
+
+REQUEST_KEY = ["channel", "captured_at", "offset_days"]
 
 
 def nearest_pick(reqs: DataFrame, cat: DataFrame, anchor_hour: int = BASELINE_ANCHOR_HOUR) -> DataFrame:
@@ -59,104 +62,53 @@ def nearest_pick(reqs: DataFrame, cat: DataFrame, anchor_hour: int = BASELINE_AN
     r = reqs.withColumn("target_day", day_start("target_at"))
     c = (cat.filter(F.col("created_at").isNotNull())
          .select("channel", day_start("captured_at").alias("target_day"), "created_at"))
-    j = r.join(c, ["channel", "target_day"])
-    desired = plus_hours(F.col("target_day"), anchor_hour)
-    diff = F.timestamp_diff("MICROSECOND", desired, F.col("created_at"))
-    return j.groupBy("channel", "captured_at").agg(
+    diff = F.timestamp_diff("MICROSECOND", plus_hours(F.col("target_day"), anchor_hour), F.col("created_at"))
+    return r.join(c, ["channel", "target_day"]).groupBy(*REQUEST_KEY).agg(
         F.min_by("created_at", F.struct(F.abs(diff), -diff)).alias("nearest_created_at"))
 
 
 def asof_pick(reqs: DataFrame, cat: DataFrame) -> DataFrame:
     """The latest created_at strictly before the target time, any day.
 
-    Requests and batches go into one ordered stream per channel; a request
-    takes the last batch stamp seen before it.  On equal times the request
-    sorts first, which makes the comparison strict.
+    Requests and batches of a (channel, month) go into one ordered stream, where
+    a request takes the last stamp seen before it; on equal times the request
+    sorts first, which makes the comparison strict.  What earlier months left
+    is one stamp per (channel, month), carried forward over months only.
     """
-    batches = (cat.filter(F.col("created_at").isNotNull())
-               .select("channel", F.col("created_at").alias("t"), F.lit(1).alias("kind"),
-                       F.col("created_at").alias("stamp"),
-                       F.lit(None).cast("timestamp_ntz").alias("captured_at")))
-    asks = reqs.select("channel", F.col("target_at").alias("t"), F.lit(0).alias("kind"),
-                       F.lit(None).cast("timestamp_ntz").alias("stamp"), "captured_at")
-    stream = batches.unionByName(asks)
-    w = (Window.partitionBy("channel").orderBy("t", "kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (stream.withColumn("asof_created_at", F.last("stamp", ignorenulls=True).over(w))
-            .filter(F.col("kind") == 0)
-            .select("channel", "captured_at", "asof_created_at"))
-
-
-def latest_from_catalogue(cat: DataFrame) -> DataFrame:
-    """J7 on the catalogue (same result as ``latest_per_day`` on the rows)."""
-    c = cat.filter(F.col("captured_at").isNotNull())
-    return c.groupBy("channel", day_start("captured_at").alias("day")).agg(F.max("captured_at").alias("captured_at"))
-
+    def month(c):
+        return F.date_trunc("month", c).cast("timestamp_ntz")
 
-def resolve_many(latest: DataFrame, cat: DataFrame, offsets: tuple[int, ...]) -> DataFrame:
-    """J6 for several offsets in one pass over the catalogue.
-
-    Output: channel, captured_at, offset_days, target_at, base_created_at, how.
-    """
-    reqs = None
-    for k in offsets:
-        r = requests(latest, k).withColumn("offset_days", F.lit(k))
-        reqs = r if reqs is None else reqs.unionByName(r)
-    key = ["channel", "captured_at", "offset_days"]
-    # J4, keyed by offset as well
-    r = reqs.withColumn("target_day", day_start("target_at"))
-    c = (cat.filter(F.col("created_at").isNotNull())
-         .select("channel", day_start("captured_at").alias("target_day"), "created_at"))
-    diff = F.timestamp_diff("MICROSECOND", plus_hours(F.col("target_day"), BASELINE_ANCHOR_HOUR), F.col("created_at"))
-    near = r.join(c, ["channel", "target_day"]).groupBy(*key).agg(
-        F.min_by("created_at", F.struct(F.abs(diff), -diff)).alias("nearest_created_at"))
-    # J5 for the requests J4 could not answer
-    open_reqs = reqs.join(near, key, "left_anti")
     batches = (cat.filter(F.col("created_at").isNotNull())
                .select("channel", F.col("created_at").alias("t"), F.lit(1).alias("kind"),
                        F.col("created_at").alias("stamp"),
                        F.lit(None).cast("timestamp_ntz").alias("captured_at"),
                        F.lit(None).cast("int").alias("offset_days")))
-    asks = open_reqs.select("channel", F.col("target_at").alias("t"), F.lit(0).alias("kind"),
-                            F.lit(None).cast("timestamp_ntz").alias("stamp"), "captured_at", "offset_days")
-    w = (Window.partitionBy("channel").orderBy("t", "kind")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    asof = (batches.unionByName(asks)
-            .withColumn("asof_created_at", F.last("stamp", ignorenulls=True).over(w))
-            .filter(F.col("kind") == 0).select(*key, "asof_created_at"))
-    out = reqs.join(near, key, "left").join(asof, key, "left")
-    return out.select(
-        *key, "target_at",
-        F.coalesce("nearest_created_at", "asof_created_at").alias("base_created_at"),
-        F.when(F.col("nearest_created_at").isNotNull(), F.lit("nearest"))
-        .when(F.col("asof_created_at").isNotNull(), F.lit("asof")).alias("how"),
-    )
-
-
-def resolve(latest: DataFrame, cat: DataFrame, offset_days: int) -> DataFrame:
+    asks = reqs.select("channel", F.col("target_at").alias("t"), F.lit(0).alias("kind"),
+                       F.lit(None).cast("timestamp_ntz").alias("stamp"), "captured_at", "offset_days")
+    stream = batches.unionByName(asks).withColumn("month", month(F.col("t")))
+    per_month = stream.groupBy("channel", "month").agg(F.max("stamp").alias("top"))
+    before = Window.partitionBy("channel").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (per_month.withColumn("carried", F.max("top").over(before))
+               .select(F.col("channel").alias("_c"), F.col("month").alias("_m"), "carried"))
+    inside = (Window.partitionBy("channel", "month").orderBy("t", "kind")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = (stream.withColumn("seen", F.last("stamp", ignorenulls=True).over(inside)).filter(F.col("kind") == 0))
+    return (seen.join(carried, seen["channel"].eqNullSafe(carried["_c"]) & (seen["month"] == carried["_m"]), "left")
+            .select(*REQUEST_KEY, F.coalesce("seen", "carried").alias("asof_created_at")))
+
+
+def resolve(reqs: DataFrame, cat: DataFrame) -> DataFrame:
     """Nearest pick on the target day, else the strict as-of fallback.
 
-    Output: channel, captured_at (current snapshot), target_at, base_created_at
-    (NULL when there is nothing to compare with), how ('nearest'/'asof').
+    Output: channel, captured_at, offset_days, target_at, base_created_at (NULL
+    when there is nothing to compare with), how ('nearest'/'asof').
     """
-    reqs = requests(latest, offset_days)
     near = nearest_pick(reqs, cat)
-    asof = asof_pick(reqs.join(near, ["channel", "captured_at"], "left_anti"), cat)
-    out = (reqs.join(near, ["channel", "captured_at"], "left")
-           .join(asof, ["channel", "captured_at"], "left"))
+    asof = asof_pick(reqs.join(near, REQUEST_KEY, "left_anti"), cat)
+    out = reqs.join(near, REQUEST_KEY, "left").join(asof, REQUEST_KEY, "left")
     return out.select(
-        "channel", "captured_at", "target_at",
+        *REQUEST_KEY, "target_at",
         F.coalesce("nearest_created_at", "asof_created_at").alias("base_created_at"),
         F.when(F.col("nearest_created_at").isNotNull(), F.lit("nearest"))
         .when(F.col("asof_created_at").isNotNull(), F.lit("asof")).alias("how"),
     )
-
-
-def offset_pairs(latest: DataFrame, offset_days: int) -> DataFrame:
-    """Exact-offset mode: the baseline is the snapshot captured ``offset`` days earlier."""
-    return latest.select("channel", "captured_at",
-                         minus_days(F.col("captured_at"), offset_days).alias("base_captured_at"))
-
-
-__all__ = ["catalogue", "latest_per_day", "current_rows", "requests", "nearest_pick",
-           "asof_pick", "resolve", "offset_pairs", "plus_days"]

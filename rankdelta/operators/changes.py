@@ -8,16 +8,18 @@ join over rows, and all channels and days go through one plan.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankdelta.functions.status import movement_status, plus_days
+from rankdelta.functions.status import day_start, movement_status, plus_days
 from rankdelta.operators import baseline as B
 from rankdelta.operators.clean import normalise_names, preprocess
 from rankdelta.schema import (
     DAY_OFFSET_DAYS, STATUS_CHART_OUT, STATUS_SAME, WEEK_OFFSET_DAYS,
 )
+from rankdelta.session import staged
 
 REPORT_KEY = ["channel", "captured_at"]
 ROW_KEY = REPORT_KEY + ["brand_key", "product_key"]
@@ -89,20 +91,12 @@ def chart_outs(current: DataFrame, base: DataFrame, reports: DataFrame) -> DataF
     )
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """Materialise the input rows once for all comparisons built on them.
+class ChangeSet:
+    """Annotated rows, chart-outs and the baselines behind them, built lazily.
 
-    The current side and every baseline side read the same rows; without
-    this, the join's inferred not-null filters make the branches differ, so
-    Spark cannot reuse exchanges and recomputes the whole input per branch.
-    MEMORY_AND_DISK: partitions that do not fit spill to executor disk, and
-    a lost executor's blocks are recomputed from lineage.
+    ``current`` may carry ``has_week`` (the report has a weekly baseline with
+    clean rows); otherwise it is found from the baseline rows.
     """
-    return rows.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-class ChangeSet:
-    """Annotated rows, chart-outs and the baselines behind them, built lazily."""
 
     def __init__(self, current: DataFrame, base_day: DataFrame, base_week: DataFrame,
                  reports: DataFrame):
@@ -111,44 +105,97 @@ class ChangeSet:
         self.base_week = base_week
         self.reports = reports
 
+    def top(self, limit: int) -> ChangeSet:
+        """Only rows that can be among the first ``limit`` of their report.
+
+        The comparisons never drop a row, so cutting before them is safe; rows
+        tied at the cut stay (each map task forwards no more than it has to).
+        """
+        w = Window.partitionBy(*REPORT_KEY).orderBy("rank", "brand_key", "product_key")
+        cut = self.current.withColumn("_pos", F.rank().over(w)).filter(F.col("_pos") <= limit).drop("_pos")
+        return ChangeSet(cut, self.base_day, self.base_week, self.reports)
+
     def daily(self) -> DataFrame:
-        return annotate(self.current, self.base_day, "day")
+        return annotate(self.current, self.base_day, "day").drop("has_week")
 
     def weekly(self) -> DataFrame:
-        return annotate(self.daily(), self.base_week, "week",
-                        present=baseline_present(self.base_week), absent_status=STATUS_SAME)
+        day = annotate(self.current, self.base_day, "day")
+        if "has_week" not in day.columns:
+            return annotate(day, self.base_week, "week", present=baseline_present(self.base_week), absent_status=STATUS_SAME)
+        out = annotate(day, self.base_week, "week")
+        return out.withColumn("status_week", F.when(F.col("has_week"), F.col("status_week")).otherwise(F.lit(STATUS_SAME))).drop("has_week")
 
     def chart_outs(self) -> DataFrame:
         return chart_outs(self.current, self.base_day, self.reports)
 
 
-def by_offset(rows: DataFrame, day_days=DAY_OFFSET_DAYS, week_days=WEEK_OFFSET_DAYS) -> ChangeSet:
+def dedup_keys(clean: DataFrame, group: list[str], order: tuple[str, ...] = ("rank", "id"), limit: int | None = None) -> DataFrame:
+    """The best-ranked row per match key within ``group``; at most ``limit`` best ranks if given."""
+    if limit is not None:
+        clean = clean.filter(F.col("rank") <= limit)
+    w = Window.partitionBy(*group, "brand_key", "product_key").orderBy(*order)
+    return clean.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") == 1).drop("_k")
+
+
+def by_offset(rows: DataFrame, day_days=DAY_OFFSET_DAYS, week_days=WEEK_OFFSET_DAYS, dedup: bool = False) -> ChangeSet:
     """Every snapshot is a report; baselines are the snapshots exactly
-    ``day_days`` / ``week_days`` earlier."""
-    rows = shared(rows)
+    ``day_days`` / ``week_days`` earlier.  ``dedup``: match keys are made
+    unique within each snapshot first (else they multiply rows)."""
+    rows = staged(rows, "rows")  # cleaned below once per branch from a pruned scan
     clean = preprocess(rows)
+    if dedup:
+        clean = dedup_keys(clean, REPORT_KEY)
     reports = normalise_names(rows.select("channel", "captured_at"), ("channel",)).distinct()
     return ChangeSet(clean, baseline_by_offset(clean, day_days),
                      baseline_by_offset(clean, week_days), reports)
 
 
-def by_resolution(rows: DataFrame, day_days: int = DAY_OFFSET_DAYS,
-                  week_days: int = WEEK_OFFSET_DAYS) -> tuple[ChangeSet, DataFrame, DataFrame]:
+def by_resolution(rows: DataFrame, day_days: int = DAY_OFFSET_DAYS, week_days: int = WEEK_OFFSET_DAYS,
+                  run_at: dt.datetime | None = None) -> tuple[ChangeSet, DataFrame, DataFrame]:
     """The latest snapshot of each day is the report; baselines are
     resolved per report (nearest to 08:00 on the target day, else as-of).
 
-    Returns the change set and the day/week pick tables.
+    ``run_at``: only that day's reports, with targets counted from the run time
+    instead of each snapshot's capture time.  Returns the change set and the
+    day/week pick tables.
     """
-    rows = shared(rows)
-    # Catalogue-level tables: one row per batch / report, i.e. metadata.
-    # Persisted so every branch below reads them instead of recomputing.
-    cat = B.catalogue(rows).persist(StorageLevel.MEMORY_AND_DISK)
-    latest = B.latest_from_catalogue(cat).persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = B.resolve_many(latest, cat, (day_days, week_days)).persist(StorageLevel.MEMORY_AND_DISK)
+    # one row per batch / report, i.e. metadata, made once
+    cat = staged(B.catalogue(rows), "catalogue")
+    latest = B.latest_per_day(cat)
+    at = None
+    if run_at is not None:
+        at = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
+        latest = latest.filter(F.col("day") == day_start(at))
+    offsets = (day_days, week_days)
+    pairs = staged(B.resolve(B.requests(latest, offsets, at), cat), "picks")
+    # rows that serve no report are not cleaned: the batches in use are a join of metadata
+    used = pairs.filter("base_created_at is not null").select("channel", F.col("base_created_at").alias("created_at")).distinct()
+    named = normalise_names(rows, ("channel",))
+    if run_at is not None:
+        now = named.join(latest.select(*REPORT_KEY), REPORT_KEY, "left_semi")
+        rows = now.unionByName(named.join(used, ["channel", "created_at"], "left_semi")).dropDuplicates(["id", *REPORT_KEY])
+    clean = staged(preprocess(rows), "clean")
+    full = (clean.groupBy("channel", "created_at").agg(F.count(F.lit(1)).alias("n"))
+            .select("channel", F.col("created_at").alias("base_created_at"), F.lit(True).alias("_has")))
     day_pairs = pairs.filter(F.col("offset_days") == day_days).drop("offset_days")
     week_pairs = pairs.filter(F.col("offset_days") == week_days).drop("offset_days")
-    clean = preprocess(rows)
-    current = clean.join(latest.select(*REPORT_KEY), REPORT_KEY, "left_semi")
+    flags = (week_pairs.join(full, ["channel", "base_created_at"], "left")
+             .select(*REPORT_KEY, F.coalesce("_has", F.lit(False)).alias("has_week")))
+    current = clean.join(flags, REPORT_KEY)
     cs = ChangeSet(current, baseline_by_pick(clean, day_pairs),
-                   baseline_by_pick(clean, week_pairs), latest.select(*REPORT_KEY))
+                   baseline_by_pick(clean, week_pairs), week_pairs.select(*REPORT_KEY))
     return cs, day_pairs, week_pairs
+
+
+def report_channels(names, build, write) -> dict[str, str]:
+    """SRC-12: ``write(name, build(name))`` for each channel; a failing one does not stop the others.
+
+    Returns the failures: channel -> message.
+    """
+    failed = {}
+    for name in names:
+        try:
+            write(name, build(name))
+        except Exception as exc:  # reported to the caller
+            failed[name] = f"{type(exc).__name__}: {exc}"
+    return failed

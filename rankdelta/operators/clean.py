@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankdelta.functions.text import clean_title, clean_title_plain, match_key, strip_ws
-from rankdelta.schema import WS
+from rankdelta.schema import COLUMN_ALIASES, SNAPSHOT_COLUMNS, WS
 
 # A number pandas' to_numeric would read: optional sign, digits with one
 # optional dot, optional exponent, surrounding whitespace.  "inf"/"nan" are
@@ -17,6 +17,19 @@ from rankdelta.schema import WS
 _NUMERIC_TEXT = rf"^{WS}*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?{WS}*\z"
 
 
+def canonicalise(df: DataFrame, names: Iterable[str] = SNAPSHOT_COLUMNS, aliases: dict[str, str] | None = None) -> DataFrame:
+    """PRJ-2: drifting column names (``Old_Price``, ``DateTime``) to the canonical ones.
+
+    Names are compared without case and underscores; ``aliases`` adds others.
+    A canonical name that is already there is left alone.
+    """
+    def plain(n: str) -> str:
+        return n.replace("_", "").lower()
+    known = {plain(n): n for n in names} | {plain(k): v for k, v in (COLUMN_ALIASES if aliases is None else aliases).items()}
+    return df.withColumnsRenamed({c: known[plain(c)] for c in df.columns
+                                  if c not in names and plain(c) in known and known[plain(c)] not in df.columns})
+
+
 def numeric_rank(c: Column, dtype: T.DataType) -> Column:
     """Rank as int: text/float truncated toward zero, unreadable -> NULL."""
     if isinstance(dtype, (T.IntegerType, T.ShortType, T.ByteType)):

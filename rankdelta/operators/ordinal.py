@@ -1,34 +1,34 @@
 """Consecutive row numbers across a whole DataFrame without a one-task sort.
 
-``row_number()`` over an unpartitioned window moves every row into one task.
-Instead rows are numbered inside their group (a snapshot: chart-sized), and
-each group gets a starting offset from a table of group sizes — one row per
-group, i.e. metadata — ordered by the group key.  Deterministic: no sampling,
-no dependence on partition layout, so recomputing any stage gives the same ids.
+Rows are range-partitioned and sorted by the order wanted, so that partitions
+follow each other; a row's number is the count of all earlier partitions plus
+its place in its own.  The sorted rows are staged first, which fixes the
+layout: recomputed tasks cannot number differently.  The driver sees one count
+per partition.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cols(cs) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cs]
-
-
-def grouped_row_number(df: DataFrame, group: list[str], order: list[Column | str],
-                       name: str = "row_no", start: int = 1) -> DataFrame:
-    """``name`` = start, start+1, ... in (group, order) order; (group, order) must be total."""
-    local = df.withColumn("_local", F.row_number().over(Window.partitionBy(*group).orderBy(*_cols(order))))
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per group: the running sum runs over metadata, not over rows
-    before = Window.orderBy(*[F.col(g).asc_nulls_first() for g in group]).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    offsets = offsets.select(*[F.col(g).alias(f"_g_{g}") for g in group], "_off")
-    cond = reduce(lambda a, b: a & b, [local[g].eqNullSafe(offsets[f"_g_{g}"]) for g in group])
-    out = local.join(offsets, cond)
-    value = F.lit(start) + F.col("_off") + F.col("_local") - F.lit(1)
-    return out.withColumn(name, value).drop("_local", "_off", *[f"_g_{g}" for g in group])
+from rankdelta.session import staged
+
+_PLACE = (1 << 33) - 1  # monotonically_increasing_id: partition above, place below
+
+
+def numbered(df: DataFrame, order: list[str], name: str = "row_no", start: int = 1) -> DataFrame:
+    """``name`` = start, start+1, ... in ``order``, which must be total."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = staged(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+                  .withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33)
+    counts = {r["p"]: r["n"] for r in laid.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before, offsets = start, []
+    for p in sorted(counts):
+        offsets.append((p, before))
+        before += counts[p]
+    table = F.broadcast(spark.createDataFrame(offsets, "_p long, _before long"))  # a row per partition
+    rows = laid.withColumn("_p", part).join(table, "_p")
+    return rows.withColumn(name, F.col("_before") + F.col("_at").bitwiseAND(F.lit(_PLACE))).drop("_p", "_before", "_at")

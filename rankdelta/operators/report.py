@@ -7,7 +7,6 @@ by the chart size, never by the table.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from rankdelta.schema import (
     DIGEST_NO_DATA, DIGEST_WEEK_BASE, STATUS_DOWN, STATUS_NEW, STATUS_SAME, STATUS_UP,
     ReportParams,
 )
+from rankdelta.session import staged
 
 REPORT_KEY = ["channel", "captured_at"]
 # Tie-breaks appended to every rank order so results are deterministic.
@@ -155,8 +155,7 @@ def digest(reports: DataFrame, annotated: DataFrame, chart_out: DataFrame,
     with collect_list is bounded.
     """
     # five branches below read the annotated rows and the chart-outs
-    annotated = annotated.persist(StorageLevel.MEMORY_AND_DISK)
-    chart_out = chart_out.persist(StorageLevel.MEMORY_AND_DISK)
+    annotated, chart_out = staged(annotated, "annotated"), staged(chart_out, "chart-outs")
     r = reports.select(*REPORT_KEY)
     dl = day_label.select(*REPORT_KEY, F.col("label").alias("day_label"))
     wl = week_label.select(*REPORT_KEY, F.col("label").alias("week_label"))

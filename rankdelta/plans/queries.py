@@ -6,6 +6,8 @@ BIGINT, texts VARCHAR, capture times TIMESTAMP (timestamp_ntz in Spark).
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import functions as F
 
 from rankdelta.operators import baseline as B
@@ -116,6 +118,28 @@ def no_baseline_status(spark, d):
                      "status_day", "status_week").agg(F.count(F.lit(1)).alias("n"))
 
 
+DUP_CHAIN = S.offset_chain(S.FEED_DAY_DUP)
+ONE_CHAIN = S.offset_chain(S.FEED_DAY_DUP, dedup=True)
+
+
+@query("rank_change_daily_dup", oracle=_with(DUP_CHAIN, f"SELECT {ANN_DAY} FROM ad2"), ids=("J1", "J3"))
+def rank_change_daily_dup(spark, d):
+    """Names repeat within a snapshot: equal keys multiply rows."""
+    return C.by_offset(feeds.feed_day(spark, d, unique_names=False)).daily()
+
+
+@query("rank_change_daily_dedup", oracle=_with(ONE_CHAIN, f"SELECT {ANN_DAY} FROM ad2"), ids=("J1", "A6"))
+def rank_change_daily_dedup(spark, d):
+    return C.by_offset(feeds.feed_day(spark, d, unique_names=False), dedup=True).daily()
+
+
+@query("canonical_columns", oracle=f"SELECT {SNAP} FROM {S.FEED_DAY} f", ids=("PRJ-2",))
+def canonical_columns(spark, d):
+    drifted = feeds.feed_day(spark, d).withColumnsRenamed(
+        {"captured_at": "DateTime", "old_price": "Old_Price", "rank": "Ranking", "created_at": "Created_At"})
+    return K.canonicalise(drifted)
+
+
 # ---------------------------------------------------------------------------
 # J4 - J8 on the four-slots-a-day feed (resolved baselines)
 # ---------------------------------------------------------------------------
@@ -128,41 +152,33 @@ SELECT l.channel, l.day, l.captured_at, (SELECT count(*) FROM cur WHERE cur.chan
 FROM latest l"""), ids=("J7", "A1", "FLT-3"))
 def latest_snapshot(spark, d):
     rows = feeds.feed_slot(spark, d)
-    latest = B.latest_per_day(rows)
+    latest = B.latest_per_day(B.catalogue(rows))
     cur = C.by_resolution(rows)[0].current
     n = cur.groupBy(*C.REPORT_KEY).agg(F.count(F.lit(1)).alias("n_rows"))
     return latest.join(n, C.REPORT_KEY, "left").fillna(0, subset=["n_rows"])
 
 
-def _requests_both(rows):
-    latest = B.latest_per_day(rows)
+def _requests(rows):
     cat = B.catalogue(rows)
-    reqs = [B.requests(latest, k).withColumn("offset_days", F.lit(k)) for k in (1, 7)]
-    return reqs, cat, latest
+    return B.requests(B.latest_per_day(cat), (1, 7)), cat
 
 
 @query("baseline_nearest", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, nearest_created_at FROM near"),
        ids=("J4", "DT-2", "DT-3"))
 def baseline_nearest(spark, d):
-    reqs, cat, _ = _requests_both(feeds.feed_slot(spark, d))
-    out = [B.nearest_pick(r, cat).withColumn("offset_days", F.lit(k)) for r, k in zip(reqs, (1, 7))]
-    return out[0].unionByName(out[1])
+    return B.nearest_pick(*_requests(feeds.feed_slot(spark, d)))
 
 
 @query("baseline_asof", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, asof_created_at FROM asofp"),
        ids=("J5",))
 def baseline_asof(spark, d):
-    reqs, cat, _ = _requests_both(feeds.feed_slot(spark, d))
-    out = [B.asof_pick(r, cat).withColumn("offset_days", F.lit(k)) for r, k in zip(reqs, (1, 7))]
-    return out[0].unionByName(out[1])
+    return B.asof_pick(*_requests(feeds.feed_slot(spark, d)))
 
 
 @query("baseline_resolve", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, target_at, base_created_at, how FROM pick"),
        ids=("J6",))
 def baseline_resolve(spark, d):
-    rows = feeds.feed_slot(spark, d)
-    cat = B.catalogue(rows)
-    return B.resolve_many(B.latest_from_catalogue(cat), cat, (1, 7))
+    return B.resolve(*_requests(feeds.feed_slot(spark, d)))
 
 
 @query("rank_report", oracle=_with(SLOT_CHAIN, f"SELECT {ANN_WEEK} FROM aw"), ids=("J8", "SRC-12"))
@@ -170,6 +186,16 @@ def rank_report(spark, d):
     return C.by_resolution(feeds.feed_slot(spark, d))[0].weekly()
 
 
+RUN_AT = _dt.datetime(2024, 1, 20, 13, 30)
+_AT_CHAIN = S.resolve_chain(S.FEED_SLOT, run_at="TIMESTAMP '2024-01-20 13:30:00'")
+
+
+@query("report_at", oracle=_with(_AT_CHAIN, f"SELECT {ANN_WEEK} FROM aw"), ids=("J8", "DT-2"))
+def report_at(spark, d):
+    """The report of one run time, which differs from the snapshots' capture times."""
+    return C.by_resolution(feeds.feed_slot(spark, d), run_at=RUN_AT)[0].weekly()
+
+
 @query("rank_report_chart_out", oracle=_with(SLOT_CHAIN, f"SELECT {CO_COLS} FROM co"), ids=("J2", "J8"))
 def rank_report_chart_out(spark, d):
     return C.by_resolution(feeds.feed_slot(spark, d))[0].chart_outs()
@@ -187,7 +213,7 @@ WHERE pos <= 50"""
 
 @query("report_top_n", oracle=_with(SLOT_CHAIN, _TOP_SQL), ids=("W4", "PRJ-3", "PRC-4", "FMT-3", "ORD-1"))
 def report_top_n(spark, d):
-    return R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS)
+    return R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].top(EVENT_PARAMS.report_limit).weekly(), EVENT_PARAMS)
 
 
 @query("trend_class", oracle=_with(SLOT_CHAIN, f"""
@@ -195,7 +221,7 @@ SELECT *, CASE WHEN starts_with(status_day, '▲') THEN 'up' WHEN starts_with(st
           CASE WHEN starts_with(status_week, '▲') THEN 'up' WHEN starts_with(status_week, '▼') THEN 'down' ELSE '' END AS trend_week
 FROM ({_TOP_SQL}) x"""), ids=("FMT-4",))
 def trend_class(spark, d):
-    return R.with_trend(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS))
+    return R.with_trend(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].top(EVENT_PARAMS.report_limit).weekly(), EVENT_PARAMS))
 
 
 @query("baseline_labels", oracle=_with(SLOT_CHAIN, """
@@ -424,10 +450,7 @@ SELECT item_id, rank, brand, product, brand_key, product_key FROM (
   SELECT *, row_number() OVER (PARTITION BY brand_key, product_key ORDER BY rank, item_id) AS k FROM ({_KEYS_SQL}) x) y
 WHERE k = 1""", ids=("A6",))
 def dedup_match_keys(spark, d):
-    from pyspark.sql import Window
-    keyed = match_keys(spark, d)
-    w = Window.partitionBy("brand_key", "product_key").orderBy("rank", "item_id")
-    return keyed.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") == 1).drop("_k")
+    return C.dedup_keys(match_keys(spark, d), [], ("rank", "item_id"))
 
 
 # ---------------------------------------------------------------------------
@@ -591,8 +614,6 @@ def sentinel_rows(spark, d):
 # ---------------------------------------------------------------------------
 # Snapshot scans, ids, purge, time text, union (SRC-5/6/9/10, DT-1, SET-1)
 # ---------------------------------------------------------------------------
-import datetime as _dt  # noqa: E402
-
 from rankdelta.functions import status as ST  # noqa: E402
 from rankdelta.sources import snapshots as SN  # noqa: E402
 
@@ -612,11 +633,8 @@ SELECT rank, brand, product, old_price, price, captured_at, channel, created_at
   SELECT *, row_number() OVER (PARTITION BY channel, created_at ORDER BY rank, id) AS k FROM {S.FEED_DAY} f) t
 WHERE k <= 10""", ids=("SRC-6", "LIM-1"))
 def scan_snapshot_limit(spark, d):
-    from pyspark.sql import Window
-    f = feeds.feed_day(spark, d)
-    w = Window.partitionBy("channel", "created_at").orderBy("rank", "id")
-    return (f.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= 10)
-            .select("rank", "brand", "product", "old_price", "price", "captured_at", "channel", "created_at"))
+    return SN.point_scan(feeds.feed_day(spark, d), 10).select(
+        "rank", "brand", "product", "old_price", "price", "captured_at", "channel", "created_at")
 
 
 BATCH_STAMP = _dt.datetime(2024, 2, 1, 8, 0, 0)
@@ -689,6 +707,7 @@ def rank_change_monthly(spark, d):
 # ---------------------------------------------------------------------------
 # Round trips through the snapshot table and the report files (SRC-7/8/11)
 # ---------------------------------------------------------------------------
+from rankdelta.session import scratch_path  # noqa: E402
 from rankdelta.sources import report_sink as RS  # noqa: E402
 
 STAMP_1, STAMP_2 = _dt.datetime(2024, 2, 1, 8, 0, 0), _dt.datetime(2024, 2, 2, 8, 0, 0)
@@ -704,7 +723,7 @@ SELECT rn AS id, rank, brand, product, old_price, price, captured_at, channel,
 SELECT rn + total, rank, brand, product, old_price, price, captured_at, channel,
        TIMESTAMP '2024-02-02 08:00:00', CAST(captured_at AS DATE) FROM n"""), ids=("SRC-7", "SRC-8", "SRC-9"))
 def snapshot_roundtrip(spark, d):
-    path = SN.scratch_path(spark, "snapshots")
+    path = scratch_path(spark, "snapshots")
     SN.ensure_snapshot_table(spark, path)
     feed = feeds.feed_day(spark, d)
     SN.append_snapshot(spark, feed, path, STAMP_1)
@@ -714,7 +733,7 @@ def snapshot_roundtrip(spark, d):
 
 @query("purge_roundtrip", oracle=_TWO_BATCHES_SQL.format(second=""), ids=("SRC-10", "SRC-8"))
 def purge_roundtrip(spark, d):
-    path = SN.scratch_path(spark, "purge")
+    path = scratch_path(spark, "purge")
     feed = feeds.feed_day(spark, d)
     SN.append_snapshot(spark, feed, path, STAMP_1)
     SN.append_snapshot(spark, feed, path, STAMP_2)
@@ -725,9 +744,9 @@ def purge_roundtrip(spark, d):
 
 @query("report_roundtrip", oracle=_with(SLOT_CHAIN, f"""
 SELECT captured_at, pos, rank AS "랭킹", brand AS "브랜드", product AS "제품명", price AS "가격",
-       status_day AS "전일대비 증감", status_week AS "전주대비 증감", coalesce(nullif(remark, ''), NULL) AS "비고", channel
+       status_day AS "전일대비 증감", status_week AS "전주대비 증감", remark AS "비고", channel
 FROM ({_TOP_SQL}) x"""), ids=("SRC-11",))
 def report_roundtrip(spark, d):
-    path = SN.scratch_path(spark, "report")
-    RS.write_report(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS), path)
-    return RS.read_report(spark, path)
+    path = scratch_path(spark, "report")
+    RS.write_report(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].top(EVENT_PARAMS.report_limit).weekly(), EVENT_PARAMS), path, "csv")
+    return RS.read_report(spark, path, "csv")

@@ -207,9 +207,13 @@ co AS (
                     AND cur.brand_key = bd.brand_key AND cur.product_key = bd.product_key))"""
 
 
-def offset_chain(feed: str, day_days: int = 1, week_days: int = 7) -> str:
+def offset_chain(feed: str, day_days: int = 1, week_days: int = 7, dedup: bool = False) -> str:
+    clean = preprocess(feed)
+    if dedup:
+        clean = f"""(SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (
+            PARTITION BY channel, captured_at, brand_key, product_key ORDER BY rank, id) AS k FROM {clean} p) q WHERE k = 1)"""
     return f"""
-c AS {preprocess(feed)},
+c AS {clean},
 cur AS (SELECT * FROM c),
 rep AS (SELECT DISTINCT {clean_plain('channel')} AS channel, captured_at FROM {feed} f),
 bd AS (SELECT channel, captured_at + INTERVAL {day_days} DAY AS captured_at, captured_at AS base_captured_at,
@@ -218,16 +222,17 @@ bw AS (SELECT channel, captured_at + INTERVAL {week_days} DAY AS captured_at, ca
               brand, product, brand_key, product_key, rank FROM c),{_annotate_tail()}"""
 
 
-def resolve_chain(feed: str, day_days: int = 1, week_days: int = 7, anchor_hour: int = 8) -> str:
+def resolve_chain(feed: str, day_days: int = 1, week_days: int = 7, anchor_hour: int = 8, run_at: str | None = None) -> str:
+    only = f"AND {day('captured_at')} = {day(run_at)}" if run_at else ""
     return f"""
 raw AS (SELECT f.*, {clean_plain('f.channel')} AS ch FROM {feed} f),
 latest AS (SELECT ch AS channel, {day('captured_at')} AS day, max(captured_at) AS captured_at
-           FROM raw WHERE captured_at IS NOT NULL GROUP BY 1, 2),
+           FROM raw WHERE captured_at IS NOT NULL {only} GROUP BY 1, 2),
 cat AS (SELECT DISTINCT ch AS channel, captured_at, created_at FROM raw),
 c AS {preprocess(feed)},
 cur AS (SELECT * FROM c WHERE EXISTS (SELECT 1 FROM latest l WHERE l.channel = c.channel AND l.captured_at = c.captured_at)),
 rep AS (SELECT channel, captured_at FROM latest),
-req AS (SELECT channel, captured_at, o.k AS offset_days, captured_at - INTERVAL 1 DAY * o.k AS target_at
+req AS (SELECT channel, captured_at, o.k AS offset_days, {run_at or 'captured_at'} - INTERVAL 1 DAY * o.k AS target_at
         FROM latest, (VALUES ({day_days}), ({week_days})) o(k)),
 near AS (
   SELECT channel, captured_at, offset_days, created_at AS nearest_created_at FROM (

@@ -77,8 +77,8 @@ SNAPSHOT_SCHEMA = T.StructType([
 ])
 SNAPSHOT_COLUMNS = tuple(f.name for f in SNAPSHOT_SCHEMA.fields)
 
-# Keys rows are matched on between a snapshot and its baseline.
-MATCH_KEYS = ("channel", "brand_key", "product_key")
+# Other names of the same columns in stored batches.
+COLUMN_ALIASES = {"datetime": "captured_at", "ranking": "rank", "product_name": "product", "createdat": "created_at"}
 # Columns of the duplicate purge within a channel (rank is not in it).
 PURGE_KEYS = ("channel", "brand", "product", "old_price", "price", "captured_at")
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,19 +44,56 @@ def share_code(spark: SparkSession, root: str) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+_scratch: list[tuple[SparkSession, str]] = []
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a scratch one only when unset."""
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Only a local session without the setting gets a folder of its own; on a
+    cluster a missing setting is an error, since executors would each write
+    to their own disk.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="rankdelta-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; it is deleted when the driver ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rankdelta-{name}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(drop_scratch)
+    _scratch.append((spark, path))
+    return path
+
+
+def drop_scratch() -> None:
+    while _scratch:
+        spark, path = _scratch.pop()
+        try:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        except Exception:  # the session may have ended before
+            continue
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: made once, then scanned
+    with pruned columns and pushed filters by every branch, and survives lost executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # Declared schemas of the driver tables this package reads: no inference job,
 # and a changed file fails at read time instead of deep inside a plan.
 TABLE_SCHEMAS = {

@@ -23,18 +23,25 @@ REPORT_FILE_SCHEMA = T.StructType([
 ])
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write ``report.top_n`` output with the report headers, per channel."""
-    out = df.select("channel", "captured_at", "pos", *[F.col(c).alias(HEADER_MAP[c]) for c in _DATA_COLS])
+# NULL and the empty text stay apart, times keep their microseconds, texts may hold line breaks
+_CSV = {"header": True, "multiLine": True, "nullValue": "\\N", "emptyValue": "", "escape": '"',
+        "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
+def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Write ``report.top_n`` output with the report headers, per channel, in rank order.
+
+    The rows of a report are in one file and in order there.
+    """
+    out = (df.select("channel", "captured_at", "pos", *[F.col(c).alias(HEADER_MAP[c]) for c in _DATA_COLS])
+           .repartition("channel", "captured_at").sortWithinPartitions("channel", "captured_at", "pos"))
     w = out.write.mode("overwrite").partitionBy("channel")
     if fmt == "csv":
-        w.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+        w.options(**_CSV | {"emptyValue": '""', "quoteAll": False}).csv(path)
     else:
         w.parquet(path)
 
 
-def read_report(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_report(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     r = spark.read.schema(REPORT_FILE_SCHEMA)
-    if fmt == "csv":
-        return r.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
-    return r.parquet(path)
+    return r.options(**_CSV).csv(path) if fmt == "csv" else r.parquet(path)

@@ -8,26 +8,19 @@ time ranges and ranks reach the parquet reader as pushed filters.
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankdelta.operators.ordinal import grouped_row_number
+from rankdelta.operators.ordinal import numbered
 from rankdelta.schema import LOCAL_TZ, PURGE_KEYS, SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
-from rankdelta.session import ensure_checkpoint_dir
+from rankdelta.session import scratch_path
 
 PARTITION_COLS = ("channel", "capture_date")
 TABLE_SCHEMA = T.StructType(SNAPSHOT_SCHEMA.fields + [T.StructField("capture_date", T.DateType())])
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint directory."""
-    return os.path.join(ensure_checkpoint_dir(spark), f"rankdelta-{name}-{uuid.uuid4().hex}")
-
-
 def ntz(value: dt.datetime | str) -> Column:
     """A wall-clock literal; it goes through text, so the host's time zone plays no part."""
     return F.lit(value if isinstance(value, str) else value.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -66,18 +59,30 @@ def scan(df: DataFrame, channel: str | None = None, start=None, end=None,
     return out.select(*columns) if columns else out
 
 
+def point_scan(df: DataFrame, limit: int | None = None, group: tuple[str, ...] = ("channel", "created_at"),
+               order: tuple[str, ...] = ("rank", "id")) -> DataFrame:
+    """SRC-6 / LIM-1: rows of each snapshot (``group``) in rank order, the first ``limit`` if given.
+
+    Filter ``df`` to one snapshot for a single one; the cut is a group limit, so
+    a map task forwards at most ``limit`` rows per snapshot.
+    """
+    if limit is None:
+        return df
+    w = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= limit).drop("_k")
+
+
 def stamp_batch(df: DataFrame, start_id: int, created_at: dt.datetime | None = None,
                 order: tuple[str, ...] = ("channel", "captured_at", "rank", "id")) -> DataFrame:
     """SRC-9 / PRJ-1: surrogate ids continuing after ``start_id - 1`` and one
     insert stamp for the whole batch (Seoul wall time when not given).
 
-    Ids follow ``order``; its first two columns (channel, capture time) form
-    the snapshot groups the numbering is distributed over.
+    Ids follow ``order``, which must be total.
     """
     stamp = (ntz(created_at) if created_at is not None
              else F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_TZ), F.current_timestamp().cast("timestamp_ntz")))
-    numbered = grouped_row_number(df, list(order[:2]), list(order[2:]), name="_new_id", start=start_id)
-    return (numbered.withColumn("id", F.col("_new_id").cast("long")).drop("_new_id")
+    rows = numbered(df, list(order), name="_new_id", start=start_id)
+    return (rows.withColumn("id", F.col("_new_id").cast("long")).drop("_new_id")
             .withColumn("created_at", stamp)
             .withColumn("collected_at", F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss")))
 
@@ -89,11 +94,15 @@ def next_id(spark: SparkSession, path: str) -> int:
 
 
 def append_snapshot(spark: SparkSession, df: DataFrame, path: str,
-                    created_at: dt.datetime | None = None) -> int:
+                    created_at: dt.datetime | None = None, enabled: bool = True) -> int | None:
     """SRC-8: append one batch; ids continue the table, one stamp per batch.
 
-    Returns the first id used.  An empty batch writes nothing.
+    Returns the first id used.  An empty batch writes nothing; a disabled sink
+    does nothing and returns None.  One writer at a time: two that append at
+    once would take the same ids.
     """
+    if not enabled:
+        return None
     ensure_snapshot_table(spark, path)
     start = next_id(spark, path)
     batch = stamp_batch(df.select(*SNAPSHOT_COLUMNS), start, created_at)

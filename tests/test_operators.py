@@ -28,8 +28,8 @@ def test_nearest_prefers_later_on_tie(spark):
     ]
     df = snap(spark, rows)
     cat = B.catalogue(df)
-    latest = B.latest_from_catalogue(cat).filter(F.col("day") > day0)
-    got = B.resolve(latest, cat, 1).collect()
+    latest = B.latest_per_day(cat).filter(F.col("day") > day0)
+    got = B.resolve(B.requests(latest, (1,)), cat).collect()
     assert len(got) == 1 and got[0]["base_created_at"] == T(2024, 1, 1, 9) and got[0]["how"] == "nearest"
 
 
@@ -42,10 +42,10 @@ def test_asof_is_strict(spark):
     ]
     df = snap(spark, rows)
     cat = B.catalogue(df)
-    latest = B.latest_from_catalogue(cat).filter(F.col("captured_at") == T(2024, 1, 2, 10))
-    got = B.resolve_many(latest, cat, (2,)).collect()  # target = 2023-12-31 10:00, a day with a snapshot
+    latest = B.latest_per_day(cat).filter(F.col("captured_at") == T(2024, 1, 2, 10))
+    got = B.resolve(B.requests(latest, (2,)), cat).collect()  # target = 2023-12-31 10:00, a day with a snapshot
     assert got[0]["how"] == "nearest"
-    got = B.resolve_many(latest, cat, (1,)).collect()  # target = 2024-01-01 10:00: no capture that day
+    got = B.resolve(B.requests(latest, (1,)), cat).collect()  # target = 2024-01-01 10:00: no capture that day
     assert got[0]["how"] == "asof" and got[0]["base_created_at"] == T(2023, 12, 30, 10)
 
 
