@@ -463,17 +463,17 @@ _SYM_NUM = f"{_SYM}{S.WS}?{S.NUM_RE}"
 _PFX_NUM = f"(?s)^(.*?)({S.NUM_RE})"
 
 
-@query("price_with_symbol", oracle=f"""
-SELECT item_id, price_text,
-  CASE WHEN price_text IS NULL OR price_text = '' THEN 'N/A'
+_READ_SYMBOL = f"""CASE WHEN price_text IS NULL OR price_text = '' THEN 'N/A'
        WHEN regexp_matches(price_text, {S.q(_SYM_NUM)}) THEN regexp_extract(price_text, {S.q(_SYM_NUM)}, 0)
        WHEN regexp_matches(price_text, {S.q(S.NUM_RE)}) THEN
          CASE WHEN regexp_matches(regexp_extract(price_text, {S.q(_PFX_NUM)}, 1), {S.q(_SYM + S.WS + '*' + chr(92) + 'z')})
               THEN regexp_extract(regexp_extract(price_text, {S.q(_PFX_NUM)}, 1), {S.q('(' + _SYM + ')' + S.WS + '*' + chr(92) + 'z')}, 1)
                    || ' ' || regexp_extract(price_text, {S.q(S.NUM_RE)}, 0)
               ELSE regexp_extract(price_text, {S.q(S.NUM_RE)}, 0) END
-       ELSE {S.strip('price_text')} END AS price
-FROM {S.PRICES} p""", ids=("PRC-1",))
+       ELSE {S.strip('price_text')} END"""
+
+
+@query("price_with_symbol", oracle=f"SELECT item_id, price_text, {_READ_SYMBOL} AS price FROM {S.PRICES} p", ids=("PRC-1",))
 def price_with_symbol(spark, d):
     p = feeds.prices(spark, d)
     return p.select("item_id", "price_text", P.price_with_symbol("price_text").alias("price"))
@@ -601,6 +601,33 @@ def rank_listing_nonblank(spark, d):
 _SB, _SP = _split_named(S.clean_plain, "name")
 
 
+_PRICED_SQL = f"""
+SELECT *, coalesce(nullif(price_attr, ''), nullif(price_node, ''), nullif(raw_title, '')) AS price_text,
+       CASE WHEN price_attr <> '' THEN 'attr' WHEN price_node <> '' THEN 'inner' WHEN raw_title <> '' THEN 'text' END AS price_source
+FROM (SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position, regexp_extract(item, 'data-price="([^"]*)"', 1) AS price_attr,
+             regexp_extract(item, '(?s)class="price"[^>]*>([^<]*)<', 1) AS price_node,
+             regexp_extract(item, '(?s)>([^<>]*)</a>', 1) AS raw_title FROM ({_CARDS_SQL}) t) t"""
+
+
+@query("listing_price_fallback", oracle=f"""
+SELECT page_id, position, price_text, price_source, {_READ_SYMBOL} AS price FROM ({_PRICED_SQL}) p""", ids=("SRC-2", "PRC-1"))
+def listing_price_fallback(spark, d):
+    return L.priced_cards(feeds.table(spark, d, "pages")).select("page_id", "position", "price_text", "price_source", "price")
+
+
+@query("collect_pages", oracle=f"""
+SELECT row_number() OVER (ORDER BY channel, rank) AS id, rank, brand, product, price AS old_price, price,
+       TIMESTAMP '2024-02-01 07:30:00' AS captured_at, channel, TIMESTAMP '2024-02-01 08:00:00' AS created_at
+FROM (SELECT rank, {_LB} AS brand, {_LP} AS product, listing AS channel, {_READ_SYMBOL} AS price FROM {_ranked_sql(_PRICED_SQL)} r) t
+WHERE product IS NOT NULL""", ids=("SRC-1", "SRC-8", "PRJ-1", "PRJ-6", "W1"))
+def collect_pages(spark, d):
+    """Stored pages to appended snapshot rows, read back from the table."""
+    path = scratch_path(spark, "collected")
+    rows = L.collect_pages(feeds.table(spark, d, "pages"), SN.ntz(_dt.datetime(2024, 2, 1, 7, 30)))
+    SN.append_snapshot(spark, rows, path, BATCH_STAMP)
+    return SN.read_snapshots(spark, path).drop("capture_date")
+
+
 @query("sentinel_rows", oracle=f"""
 SELECT listing, rank, page_id, position,
        CASE WHEN NOT found THEN 'N/A' ELSE {_SB} END AS brand,

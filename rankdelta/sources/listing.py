@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankdelta.functions.price import price_with_symbol
 from rankdelta.functions.text import clean_title, clean_title_plain, first_non_blank, split_brand_product
+from rankdelta.operators.clean import collector_clean
 from rankdelta.schema import CRAWL_LIMIT, DIGIT
 
 ITEM_RE = r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"  # a card's tag may carry attributes
@@ -54,6 +56,15 @@ def _card_fields(item: Column) -> dict[str, Column]:
     }
 
 
+def _price_fields(item: Column) -> dict[str, Column]:
+    return {
+        "price_attr": F.regexp_extract(item, r'data-price="([^"]*)"', 1),
+        "price_node": F.regexp_extract(item, r'(?s)class="price"[^>]*>([^<]*)<', 1),
+        "old_node": F.regexp_extract(item, r'(?s)class="old-price"[^>]*>([^<]*)<', 1),
+        "raw_title": F.regexp_extract(item, LINK_RE, 1),
+    }
+
+
 def listing_items(pages: DataFrame) -> DataFrame:
     """SRC-1: every card of every page with its 1-based position."""
     return _cards(pages).select("page_id", "listing", "page_no", "position",
@@ -71,6 +82,35 @@ def with_fallback_name(items: DataFrame) -> DataFrame:
     return items.withColumns({"name": name, "name_source": source})
 
 
+def priced_cards(pages: DataFrame) -> DataFrame:
+    """Every card with its price text: the attribute, else the inner node, else the
+    card's text; ``price`` is what the symbol reader makes of it and
+    ``price_source`` tells which one answered."""
+    cards = _cards(pages)
+    f = _price_fields(F.col("item"))
+    cards = cards.select("page_id", "listing", "page_no", "position", *[c.alias(n) for n, c in f.items()])
+    sources = [("attr", "price_attr"), ("inner", "price_node"), ("text", "raw_title")]
+    text = first_non_blank(*[F.col(c) for _, c in sources])
+    source = F.coalesce(*[F.when(F.col(c) != "", F.lit(n)) for n, c in sources])
+    return (cards.withColumns({"price_text": text, "price_source": source})
+            .withColumn("price", price_with_symbol("price_text")))
+
+
+def collect_pages(pages: DataFrame, captured_at: Column, limit: int = CRAWL_LIMIT) -> DataFrame:
+    """Stored pages to snapshot rows: cards ranked per listing, titles split, prices
+    read, old price defaulted to the price, one capture time; ready to be appended.
+
+    The channel is the listing; ids are given by the append.
+    """
+    ranked = rank_cards(priced_cards(pages), limit)
+    brand, product = split_brand_product("raw_title", clean_title)
+    old = price_with_symbol("old_node")
+    rows = ranked.select(F.lit(None).cast("long").alias("id"), "rank", brand.alias("brand"), product.alias("product"),
+                         old.alias("old_price"), "price", captured_at.alias("captured_at"), F.col("listing").alias("channel"),
+                         F.lit(None).cast("timestamp_ntz").alias("created_at"))
+    return collector_clean(rows)
+
+
 def rank_cards(items: DataFrame, limit: int = CRAWL_LIMIT, group: str = "listing",
                order: tuple[str, ...] = ("page_no", "page_id", "position")) -> DataFrame:
     """Running rank across the ordered pages of a listing, <= limit."""

@@ -160,3 +160,14 @@ def test_results_do_not_depend_on_the_host_zone(sf_dir):
             "    r = compare(s, con, %r, n, q[n].fn, q[n].oracle); assert r['ok'], r\nprint('fine')\n") % (ROOT, os.path.join(ROOT, "tools"), sf_dir, sf_dir)
     out = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": "Asia/Seoul"}, capture_output=True, text=True, timeout=600)
     assert out.stdout.strip().endswith("fine"), out.stdout[-500:] + out.stderr[-1500:]
+
+
+def test_price_chain_and_collected_rows(spark):
+    html = ('<li><a>(5ML) Aa - Bb</a><b data-price="$ 5.00"></b><span class="price">9</span></li><li><a>Cc - Dd</a><i class="price x">US$ 7</i><s class="old-price">€8</s></li>'
+            "<li><a>only 3 left</a></li><li>unreadable</li>")
+    p = pages(spark, (1, "https://a/en/", html))
+    got = [(r.price_source, r.price) for r in L.priced_cards(p).orderBy("position").collect()]
+    assert got == [("attr", "$ 5.00"), ("inner", "$ 7"), ("text", "3"), (None, "N/A")]
+    rows = L.collect_pages(p, SN.ntz(T(2024, 1, 1))).orderBy("rank").collect()
+    assert [(r.rank, r.old_price, r.price) for r in rows][:2] == [(1, "$ 5.00", "$ 5.00"), (2, "€8", "$ 7")]
+    assert {r.channel for r in rows} == {"a/en"} and rows[0].brand == "Aa"
