@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_scratch: list[tuple[SparkSession, str]] = []
+_scratch: list[tuple[SparkSession, str]] = []  # what is left is deleted when the driver ends
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,9 +40,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch(keep: int = 0) -> None:
-    """Delete the scratch tables of this driver beyond the first ``keep``."""
-    while len(_scratch) > keep:
+def drop_scratch() -> None:
+    while _scratch:
         spark, path = _scratch.pop()
         try:
             delete_path(spark, path)
@@ -62,7 +61,17 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = scratch_path(spark, name)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._scratch_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete ``written`` tables that nothing reads any more, also not lazily."""
+    for t in tables:
+        path = vars(t).get("_scratch_path")
+        if path:
+            delete_path(t.sparkSession, path)
 
 
 def fitting(df: DataFrame, rows: int, name: str) -> DataFrame:

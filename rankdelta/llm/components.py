@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rankdelta.llm.common import written
+from rankdelta.llm.common import release, written
 
 
 def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -40,7 +40,9 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e, state = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while state[0]:
-        e, new = _written(small_star(large_star(e)))
+        last = e
+        e, new = _written(small_star(large_star(last)))
+        release(last)
         if new == state:
             break
         state = new

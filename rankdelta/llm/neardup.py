@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankdelta.llm.common import fitting, utf8, written
+from rankdelta.llm.common import fitting, release, utf8, written
 from rankdelta.llm.components import components
 
 WORDS = 5
@@ -325,7 +325,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .mapInArrow(_alike, "a long, b long, same double"), "nd-passed")
     # first the likeliest leader of each document: that joins nearly all groups
     first = passed.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a")).select("a", "b")
-    links = written(links.union(verified(first, docs)), "nd-links")
+    linked = written(links.union(verified(first, docs)), "nd-links")
+    release(links, passed)
+    links = linked
     marks = components(links)
 
     # buckets that still hold several components: which components can be linked at all?
@@ -344,6 +346,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         more = written(_dealt(_cells(full, BLOCK // 2)).mapInArrow(_compare(True), "a long, b long"), "nd-more")
         if more.take(1):
             marks = components(links.union(more))
+        release(more)
+    release(shared, open_, members, links)
 
     out = signed.select("doc_id", "n_shingles").join(
         marks.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
