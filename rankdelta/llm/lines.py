@@ -35,7 +35,7 @@ def _keys(min_chars: int):
                 for i, line in enumerate(text.split(b"\n")):
                     if len(line) < min_chars:
                         continue
-                    key = line.strip(SPACE).lower()
+                    key = line_key(line)
                     n = len(key)
                     if n >= min_chars and (n >= 4 * min_chars or len(key.decode("utf-8", "replace")) >= min_chars):
                         seen.setdefault(digest(key), []).append(i)
