@@ -387,11 +387,7 @@ def cut_repeats(docs: DataFrame, *, length: int = LENGTH, gram: int = GRAM) -> D
     stay whole.  Other columns are not read; an empty table gives no rows.
     """
     marks = repeats(docs, length, gram)
-    per = written(marks.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("_marks")), "sx-marks")
-    size = per.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_marks")), F.lit(0))).first()
-    per = per.withColumnsRenamed({"doc_id": "_d", "th": "_t"})
-    if sum(size) <= BROADCAST_ROWS:
-        per = F.broadcast(per)
+    per = marks.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("_marks")).withColumnsRenamed({"doc_id": "_d", "th": "_t"})
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("th"),
                         utf8(F.col("text")).alias("_text"))
     both = texts.join(per, (F.col("th") == F.col("_t")) & F.col("doc_id").eqNullSafe(F.col("_d")), "left")
