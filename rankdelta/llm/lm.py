@@ -39,9 +39,10 @@ CLASSES = 2048
 HEAD = 65_536
 DIM = 32
 ROUNDS = 1
-BATCH = 8192
+BATCH = 2048
+CHUNK = 1 << 19        # tokens that a task trains on at a time
 NOISE, RATIO = 128, 16.0
-RATE = 0.05
+RATE = 0.1
 ADD = 0.1
 RARE, EDGE = 0, 1      # class of all other words; the end, and what stands before a text
 END = b""              # no word is empty
@@ -79,14 +80,15 @@ class Trainer:
         self.power[which][at] += g * g
         self.params[which][at] += self.rate * g / np.sqrt(self.power[which][at])
 
-    def step(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> None:
+    def step(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray, n: np.ndarray) -> None:
+        """One batch of distinct (h1, h2, w), each seen ``n`` times."""
         r1, r2, q, b = self.params
         noise = np.searchsorted(self.cum, self.rng.random(NOISE), side="right").clip(max=len(q) - 1)
         r, qw, qn = r1[h1] + r2[h2], q[w], q[noise]
         real = np.einsum("ij,ij->i", r, qw) + b[w, 0] - self.shift[w]
         fake = r @ qn.T + (b[noise, 0] - self.shift[noise])
-        g = 1 / (1 + np.exp(np.minimum(real, 60)))                      # 1 - sigmoid
-        f = np.float32(-RATIO / NOISE) / (1 + np.exp(np.minimum(-fake, 60)))
+        g = n / (1 + np.exp(np.minimum(real, 60)))                      # 1 - sigmoid
+        f = (np.float32(-RATIO / NOISE) * n)[:, None] / (1 + np.exp(np.minimum(-fake, 60)))
         dr = g[:, None] * qw + f @ qn
         rows = np.concatenate((w, noise))
         self._move(2, rows, np.concatenate((g[:, None] * r, f.T @ r)))
@@ -95,23 +97,30 @@ class Trainer:
         self._move(1, h2, dr)
 
     def fit(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> None:
-        order = self.rng.permutation(len(w))
-        for i in range(0, len(w), BATCH):
-            at = order[i: i + BATCH]
-            self.step(h1[at], h2[at], w[at])
+        """All tokens once; those that agree in context and class are one example with a weight."""
+        k = len(self.shift)
+        key, n = np.unique((h1.astype(np.int64) * k + h2) * k + w, return_counts=True)
+        order = self.rng.permutation(len(key))
+        key, n = key[order], n[order].astype(np.float32)
+        for i in range(0, len(key), BATCH):
+            x = key[i: i + BATCH]
+            self.step(x // (k * k), x // k % k, x % k, n[i: i + BATCH])
 
 
 class Tables:
     """Log10 probabilities of classes for all contexts."""
 
     def __init__(self, params: list[np.ndarray]):
-        r1, r2, q, b = (x.astype(np.float64) for x in params)
-        a1, a2 = r1 @ q.T, r2 @ q.T + b[:, 0]
-        m1, m2 = a1.max(axis=1, keepdims=True), a2.max(axis=1, keepdims=True)
-        total = np.exp(a1 - m1) @ np.exp(a2 - m2).T
-        ln10 = math.log(10)
-        self.a1, self.a2 = (a1 / ln10).astype(np.float32), (a2 / ln10).astype(np.float32)
-        self.z = ((np.log(total) + m1 + m2.T) / ln10).astype(np.float32)
+        r1, r2, q, b = params
+        self.a1, self.a2 = r1 @ q.T, r2 @ q.T + b[:, 0]
+        m1, m2 = self.a1.max(axis=1, keepdims=True), self.a2.max(axis=1, keepdims=True)
+        right = np.exp(self.a2 - m2).T
+        self.z = np.empty((len(r1), len(r1)), np.float32)
+        for i in range(0, len(r1), 256):  # a block of contexts at a time
+            total = np.exp(self.a1[i: i + 256] - m1[i: i + 256]) @ right
+            self.z[i: i + 256] = np.log(total) + m1[i: i + 256] + m2.T
+        for x in (self.a1, self.a2, self.z):
+            x /= np.float32(math.log(10))
 
     def log10(self, h1: np.ndarray, h2: np.ndarray, w: np.ndarray) -> np.ndarray:
         return self.a1[h1, w].astype(np.float64) + self.a2[h2, w] - self.z[h1, h2]
@@ -161,7 +170,7 @@ def _count(batches):
         for text in b.column("_text").to_pylist():
             held.update(text.lower().split())
         held[END] += b.num_rows
-        if len(held) > 400_000:
+        if len(held) > 250_000:
             yield emit()
             held = Counter()
     if held:
@@ -185,7 +194,7 @@ def _train(shared, rate: float, seed: int):
             for text in b.column("_text").to_pylist():
                 held.append(tokens(text))
                 size += len(held[-1])
-                if size >= 1 << 18:
+                if size >= CHUNK:
                     trainer.fit(*classed(held, classes)[:3])
                     seen, held, size = seen + size, [], 0
         if held:
@@ -259,7 +268,7 @@ def _score(model, head, n_train: float, n_words: float, rare_mass: float):
         table, counts = _tables[name], head.value
         logs = {w: math.log10((c + ADD) / (n_train + ADD * (n_words + 1))) for w, c in counts.items()}
         log_mass = math.log10(rare_mass) if rare_mass > 0 else 0.0
-        for b in slices(batches, "_text"):
+        for b in slices(batches, "_text", 2 << 20):
             texts = [tokens(t) for t in b.column("_text").to_pylist()]
             h1, h2, w, starts = classed(texts, classes)
             total = int(starts[-1])
