@@ -105,10 +105,10 @@ def _sign(batches):
     words, seen = WordHashes(), set()
 
     def signed(rows):
-        """Rows whose set is new to this task get minima, others only their key."""
+        """Rows with a doc_id whose set is new to this task get minima, others only their key."""
         fresh, held = [], set()
-        for _, s, key in rows:
-            if len(s) and key not in seen and key not in held:
+        for doc, s, key in rows:
+            if doc is not None and len(s) and key not in seen and key not in held:
                 fresh.append((s, key))
                 held.add(key)
         sketch = bands = {}

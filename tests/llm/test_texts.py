@@ -99,6 +99,14 @@ def test_near_duplicates_odd_rows(spark, family):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({v for v in want.values()})
 
 
+def test_near_duplicates_null_id_chunks_before_its_copy(spark, family):
+    """A row without doc_id must not take the minima from a copy that comes in a later chunk of the task."""
+    filler = " ".join(f"w{i}" for i in range(neardup.CHUNK + 10))
+    rows = [(None, family[0][1]), (1, filler), (10, family[0][1]), (20, family[1][1])]
+    got = neardup.near_duplicates(documents(spark, rows).coalesce(1)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {None: None, 1: 1, 10: 10, 20: 10}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 30)] + [(100, 7), (200, 201), (201, 202), (202, 200), (5, 5)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
