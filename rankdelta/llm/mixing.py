@@ -7,9 +7,11 @@ by the cube method: the vector of fractional probabilities moves at random
 through the null space of the balancing constraints (sum of words, number of
 documents), so both totals stay exactly where they are while coordinates
 become 0 or 1.  The flight runs in blocks of bounded size; the at most two
-units that each block leaves undecided fly on together in the next round,
-until one block per source is left, whose last units a small landing problem
-rounds (nearest to both totals, words first).
+units that each block leaves undecided fly on together in the next round.  One
+block of each source waits meanwhile, so that a source of any size comes down to
+one block with enough units to land on, in the round in which its rows fit.  A
+small landing problem rounds what is then left (nearest to both totals, words
+first).
 
 Only (key, source, size) rows move; texts are read once and stay where they are.
 """
@@ -137,16 +139,19 @@ def land(pi: np.ndarray, size: np.ndarray, start: np.ndarray) -> np.ndarray:
     return pi
 
 
-def _fly(last: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        # large documents are decided first, so that small ones are left to land
-        pdf = pdf.sort_values(["size", "h", "doc_id", "th", "copy"], ascending=[False, True, True, True, True],
-                              kind="mergesort", na_position="first")
-        size, pi = pdf["size"].to_numpy(np.int64), pdf["pi"].to_numpy(float)
-        seed = np.array([int(pdf["h"].iloc[0]) & 0x7FFFFFFFFFFFFFFF, len(pdf)], dtype=np.uint64)
-        flown = flight(pi, size, np.random.default_rng(seed))
-        return pdf.assign(pi=land(flown, size, pi) if last else flown).drop(columns="block")
-    return run
+def _fly(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One block of a source; the only one of its source lands, the first of several waits for the next round."""
+    single, block = int(pdf["blocks"].iloc[0]) == 1, int(pdf["block"].iloc[0])
+    pdf = pdf.drop(columns=["block", "blocks"])
+    if not single and block == 0:
+        return pdf
+    # large documents are decided first, so that small ones are left to land
+    pdf = pdf.sort_values(["size", "h", "doc_id", "th", "copy"], ascending=[False, True, True, True, True],
+                          kind="mergesort", na_position="first")
+    size, pi = pdf["size"].to_numpy(np.int64), pdf["pi"].to_numpy(float)
+    seed = np.array([int(pdf["h"].iloc[0]) & 0x7FFFFFFFFFFFFFFF, len(pdf)], dtype=np.uint64)
+    flown = flight(pi, size, np.random.default_rng(seed))
+    return pdf.assign(pi=land(flown, size, pi) if single else flown)
 
 
 def mix(docs: DataFrame, *, weights=WEIGHTS, cap: float = CAP, block: int = BLOCK, seed: int = 0) -> DataFrame:
@@ -171,18 +176,13 @@ def mix(docs: DataFrame, *, weights=WEIGHTS, cap: float = CAP, block: int = BLOC
     current, done = rows, []
     n = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     while True:
-        last = n <= block
-        blocks = 1 if last else -(-n // block)
-        cut = current.withColumn("block", F.pmod(F.col("h"), F.lit(blocks)))
-        if not last:
-            # a source gets blocks by its own number of rows, so that small sources stay whole
-            per = current.groupBy("source").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / block)).alias("_b"))
-            per = per.withColumnRenamed("source", "_s")
-            cut = (current.join(per, current["source"].eqNullSafe(per["_s"])).drop("_s")
-                   .withColumn("block", F.pmod(F.col("h"), F.col("_b"))).drop("_b"))
-        flown = cut.drop("block").schema
-        moved = written(cut.groupBy("source", "block").applyInPandas(_fly(last), flown), "mix-round")
-        if last:
+        # a source gets blocks by its own number of rows; those of the block that waits are dealt anew each round
+        per = (current.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+               .withColumnRenamed("source", "_s"))
+        cut = (current.join(per, current["source"].eqNullSafe(per["_s"])).drop("_s")
+               .withColumn("block", F.pmod(F.xxhash64("h", F.lit(len(done))), F.col("blocks"))))
+        moved = written(cut.groupBy("source", "block").applyInPandas(_fly, current.schema), "mix-round")
+        if n <= block:  # every source has landed
             done.append(moved)
             break
         open_ = (F.col("pi") > EPS) & (F.col("pi") < 1 - EPS)

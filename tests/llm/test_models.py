@@ -245,6 +245,20 @@ def test_mix_reaches_its_targets(spark, block):
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_mix_lands_each_source_at_its_size(spark):
+    """One huge document in a source of one block and in one of two, beside each other."""
+    rows = [(i, " ".join(["w"] * (1 + i * 37 % 50 + (1500 if i in (150, 450) else 0))), "s0" if i < 100 else "s1" if i < 400 else "s2") for i in range(1000)]
+    sizes = defaultdict(int)
+    for _, t, s in rows:
+        sizes[s] += len(t.split())
+    want = brute_targets(dict(sizes))
+    for seed in range(3):
+        taken = Counter()
+        for r in mixing.mix(documents(spark, rows), block=320, seed=seed).collect():
+            taken[r.source] += r.taken
+        assert {s: taken[s] - want[s] for s in sizes if abs(taken[s] - want[s]) > 3} == {}
+
+
 def test_flight_keeps_both_totals():
     rng = np.random.default_rng(2)
     pi, size = rng.random(500), rng.integers(0, 1000, 500)
