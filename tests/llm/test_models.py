@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,3 +298,34 @@ def test_neighbours_against_brute_force(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r.rank, r.vec_id) for r in neighbours.nearest(few, lambda i: i == 0).orderBy("rank").collect()] == [(0, 1, 1), (0, 2, 2)]
     assert neighbours.nearest(few.limit(0), lambda i: i == 0).count() == 0
+
+
+def test_offers_leave_out_what_is_listed():
+    """Members that know their nearest already are offered the next ones, however many they know."""
+    angle = np.arange(12) * 0.05
+    x = np.stack([np.cos(angle), np.sin(angle)], axis=1).astype(np.float32)
+    have = [[j for j in range(12) if j != i and abs(j - i) <= 4] for i in range(12)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([99] * 12), pa.array(range(12)), pa.array([-9.0] * 12, pa.float32()), pa.array(have, pa.list_(pa.int64())),
+         pa.array([r.tobytes() for r in x])], ["u", "node", "worst", "have", "unit"])
+    got = defaultdict(set)
+    for b in neighbours._join_around([batch]):
+        for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist(), strict=True):
+            got[u].add(v)
+    for i in range(12):
+        new = sorted((j for j in range(12) if j != i and j not in have[i]), key=lambda j: abs(j - i))
+        assert got[i] == set(new[: neighbours.OFFERS])
+
+
+def test_graph_rounds_go_on_until_settled(spark):
+    """Uniform vectors in many dimensions: the lists of the settled graph hold nearly all true neighbours."""
+    x = np.random.default_rng(8).standard_normal((3000, 24)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    units = spark.createDataFrame([(i, bytearray(r.tobytes())) for i, r in enumerate(x)], "node long, unit binary")
+    near = defaultdict(set)
+    for r in neighbours.neighbour_graph(units).collect():
+        near[r.u].add(r.v)
+    m = x @ x.T
+    np.fill_diagonal(m, -9)
+    best = np.argpartition(-m, 9, axis=1)[:, :10]
+    assert np.mean([len(near[i] & set(b.tolist())) / 10 for i, b in enumerate(best)]) > 0.97
