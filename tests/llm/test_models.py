@@ -329,3 +329,16 @@ def test_graph_rounds_go_on_until_settled(spark):
     np.fill_diagonal(m, -9)
     best = np.argpartition(-m, 9, axis=1)[:, :10]
     assert np.mean([len(near[i] & set(b.tolist())) / 10 for i, b in enumerate(best)]) > 0.97
+
+
+def test_neighbours_closer_than_single_precision(spark):
+    """Sixty directions that single precision cannot tell apart are ranked in double precision."""
+    rng = np.random.default_rng(5)
+    ids = rng.permutation(300).tolist()
+    x = rng.standard_normal((300, 4))
+    step = np.array([0.0, 1.0, 0.0, 0.0])
+    x[:60] = [(1 + k % 7) * (np.array([1.0, 0.0, 0.0, 0.0]) + k * 1e-5 * step) for k in range(60)]
+    df = spark.createDataFrame([(ids[i], x[i].tolist()) for i in range(300)], "vec_id long, embedding array<double>")
+    query = ids[0]
+    got = neighbours.nearest(df, lambda i: i == query).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == ids[1:6]
