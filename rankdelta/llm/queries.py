@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankdelta.llm import queries_words  # noqa: F401  (registers its queries)
 from rankdelta.llm import chat, decontam, lines, lm, mixing, neardup, neighbours, suffixes, toxicity, warc
 from rankdelta.llm.registry import ORACLES, QUERIES, query  # noqa: F401
 

@@ -14,8 +14,8 @@ def test_matches_sql(spark, sf_dir, name):
     assert r["ok"], r
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_all_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_decontamination_plan_is_native(spark, sf_dir):
