@@ -52,21 +52,25 @@ def requests(latest: DataFrame, offsets: tuple[int, ...], run_at: Column | None
 REQUEST_KEY = ["channel", "captured_at", "offset_days"]
 
 
-def nearest_pick(reqs: DataFrame, cat: DataFrame, anchor_hour: int = BASELINE_ANCHOR_HOUR) -> DataFrame:
-    """Among batches captured on the target day, the created_at nearest to
-    the anchor hour; equal distance goes to the later one; NULL stamps ignored.
+def day_picks(cat: DataFrame, anchor_hour: int = BASELINE_ANCHOR_HOUR) -> DataFrame:
+    """(channel, target_day, nearest_created_at): among the batches captured on a day, the created_at
+    nearest to the anchor hour; equal distance goes to the later one; NULL stamps ignored.
 
-    Equi-join on (channel, day); the candidates per request are that day's
-    batches only.
+    The pick of a day is the same for every request, so it is one aggregate of the catalogue.
     """
-    r = reqs.withColumn("target_day", day_start("target_at"))
-    c = (cat.filter(F.col("created_at").isNotNull())
-         .select("channel", day_start("captured_at").alias("target_day"), "created_at"))
+    c = cat.filter(F.col("created_at").isNotNull() & F.col("captured_at").isNotNull()).select(
+        "channel", day_start("captured_at").alias("target_day"), "created_at")
     diff = F.timestamp_diff("MICROSECOND", plus_hours(F.col("target_day"), anchor_hour), F.col("created_at"))
-    return r.join(c, ["channel", "target_day"]).groupBy(*REQUEST_KEY).agg(
+    return c.groupBy("channel", "target_day").agg(
         F.min_by("created_at", F.struct(F.abs(diff), -diff)).alias("nearest_created_at"))
 
 
+def nearest_pick(reqs: DataFrame, cat: DataFrame, anchor_hour: int = BASELINE_ANCHOR_HOUR) -> DataFrame:
+    """The pick of the target day, for requests whose day has one."""
+    r = reqs.withColumn("target_day", day_start("target_at"))
+    return r.join(day_picks(cat, anchor_hour), ["channel", "target_day"]).select(*REQUEST_KEY, "nearest_created_at")
+
+
 def asof_pick(reqs: DataFrame, cat: DataFrame) -> DataFrame:
     """The latest created_at strictly before the target time, any day.
 
@@ -94,7 +98,7 @@ def asof_pick(reqs: DataFrame, cat: DataFrame) -> DataFrame:
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     seen = (stream.withColumn("seen", F.last("stamp", ignorenulls=True).over(inside)).filter(F.col("kind") == 0))
     return (seen.join(carried, seen["channel"].eqNullSafe(carried["_c"]) & (seen["month"] == carried["_m"]), "left")
-            .select(*REQUEST_KEY, F.coalesce("seen", "carried").alias("asof_created_at")))
+            .select(*REQUEST_KEY, F.col("t").alias("target_at"), F.coalesce("seen", "carried").alias("asof_created_at")))
 
 
 def resolve(reqs: DataFrame, cat: DataFrame) -> DataFrame:
@@ -103,12 +107,11 @@ def resolve(reqs: DataFrame, cat: DataFrame) -> DataFrame:
     Output: channel, captured_at, offset_days, target_at, base_created_at (NULL
     when there is nothing to compare with), how ('nearest'/'asof').
     """
-    near = nearest_pick(reqs, cat)
-    asof = asof_pick(reqs.join(near, REQUEST_KEY, "left_anti"), cat)
-    out = reqs.join(near, REQUEST_KEY, "left").join(asof, REQUEST_KEY, "left")
-    return out.select(
-        *REQUEST_KEY, "target_at",
-        F.coalesce("nearest_created_at", "asof_created_at").alias("base_created_at"),
-        F.when(F.col("nearest_created_at").isNotNull(), F.lit("nearest"))
-        .when(F.col("asof_created_at").isNotNull(), F.lit("asof")).alias("how"),
-    )
+    r = reqs.withColumn("target_day", day_start("target_at"))
+    r = r.join(day_picks(cat), ["channel", "target_day"], "left")
+    found = r.filter("nearest_created_at is not null").select(
+        *REQUEST_KEY, "target_at", F.col("nearest_created_at").alias("base_created_at"), F.lit("nearest").alias("how"))
+    asof = asof_pick(r.filter("nearest_created_at is null").select(*reqs.columns), cat).select(
+        *REQUEST_KEY, "target_at", F.col("asof_created_at").alias("base_created_at"),
+        F.when(F.col("asof_created_at").isNotNull(), F.lit("asof")).alias("how"))
+    return found.unionByName(asof)

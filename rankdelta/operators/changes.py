@@ -1,21 +1,26 @@
 """Rank movement against a day-ago and a week-ago baseline (J1-J3, J8, FMT-2).
 
-A *report* is one current snapshot, keyed (channel, captured_at).  Baseline
-rows are first re-keyed to the report they serve, then every comparison is
-an equi-join on (channel, captured_at, brand_key, product_key) — no range
-join over rows, and all channels and days go through one plan.
+A *report* is one current snapshot, keyed (channel, captured_at).  A snapshot
+row can serve several reports: its own as a current row, a later one as the day
+baseline, another as the week baseline.  Every row is dealt to the reports it
+serves, with its role, and the dealt rows meet in one shuffle by report.  Inside
+a report, rows with the same match key find each other in windows over
+(report, brand_key, product_key): previous ranks, movement and chart-outs all
+come from that one exchange, with no join of rows.  A report's group is its
+chart and two baselines, so it is bounded by the size of a chart.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankdelta.functions.status import day_start, movement_status, plus_days
 from rankdelta.operators import baseline as B
-from rankdelta.operators.clean import normalise_names, preprocess
+from rankdelta.operators.clean import mark_comparable
 from rankdelta.schema import (
     DAY_OFFSET_DAYS, STATUS_CHART_OUT, STATUS_SAME, WEEK_OFFSET_DAYS,
 )
@@ -25,6 +30,10 @@ REPORT_KEY = ["channel", "captured_at"]
 ROW_KEY = REPORT_KEY + ["brand_key", "product_key"]
 _BASE_COLS = ["brand", "product", "brand_key", "product_key", "rank"]
 
+# What a row is to the report it is dealt to.  SEEN rows cannot be compared
+# (no product or rank) and only prove that the report exists.
+CURRENT, DAY, WEEK, SEEN = 0, 1, 2, 3
+
 
 def _shift(offset):
     """An int is a number of days; a callable maps a capture time to the
@@ -34,99 +43,86 @@ def _shift(offset):
     return lambda c: plus_days(c, offset)
 
 
-def baseline_by_offset(clean: DataFrame, offset) -> DataFrame:
-    """Exact-offset mode: a snapshot serves the report captured ``offset`` later."""
-    return clean.select(
-        "channel",
-        _shift(offset)(F.col("captured_at")).alias("captured_at"),
-        F.col("captured_at").alias("base_captured_at"),
-        *_BASE_COLS,
-    )
-
-
-def baseline_by_pick(clean: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Resolved mode: rows whose created_at is the report's picked baseline stamp."""
-    p = pairs.filter(F.col("base_created_at").isNotNull()).select(
-        "channel", F.col("captured_at").alias("report_at"), F.col("base_created_at").alias("created_at"))
-    return clean.join(p, ["channel", "created_at"]).select(
-        "channel",
-        F.col("report_at").alias("captured_at"),
-        F.col("captured_at").alias("base_captured_at"),
-        *_BASE_COLS,
-    )
-
-
 def baseline_present(base: DataFrame) -> DataFrame:
     """Reports whose baseline still has rows after cleaning."""
     return base.select(*REPORT_KEY).distinct().withColumn("has_baseline", F.lit(True))
 
 
-def annotate(current: DataFrame, base: DataFrame, suffix: str, *,
-             present: DataFrame | None = None, absent_status: str | None = None) -> DataFrame:
-    """Left-join the baseline rank; delta = previous - current; status text.
+class ChangeSet:
+    """Annotated rows, chart-outs and the baselines behind them, built lazily.
 
-    Duplicate keys multiply rows, as a pandas merge does.  With ``present``
-    given, reports without a baseline get ``absent_status`` instead of the
-    per-row status (the weekly rule); otherwise an absent baseline simply
-    leaves every row unmatched (status "new", the daily rule).
+    ``deal(roles)`` gives the comparable rows (and SEEN ones) dealt to the
+    reports they serve in one of ``roles``: the row's columns with
+    ``captured_at`` of the report, ``base_captured_at`` of the row, ``role``.
     """
-    prev, delta, status = f"prev_rank_{suffix}", f"delta_{suffix}", f"status_{suffix}"
-    b = base.select(*ROW_KEY, F.col("rank").alias(prev))
-    out = current.join(b, ROW_KEY, "left").withColumn(delta, F.col(prev) - F.col("rank"))
-    st = movement_status(F.col(delta))
-    if present is not None:
-        out = out.join(present.withColumnRenamed("has_baseline", "_has"), REPORT_KEY, "left")
-        st = F.when(F.col("_has"), st).otherwise(F.lit(absent_status))
-        return out.withColumn(status, st).drop("_has")
-    return out.withColumn(status, st)
-
-
-def chart_outs(current: DataFrame, base: DataFrame, reports: DataFrame) -> DataFrame:
-    """Baseline rows of existing reports with no current match (anti-join)."""
-    scoped = base.join(reports.select(*REPORT_KEY), REPORT_KEY, "left_semi")
-    gone = scoped.join(current.select(*ROW_KEY), ROW_KEY, "left_anti")
-    return gone.select(
-        "channel", "captured_at", "brand", "product", "brand_key", "product_key",
-        F.col("rank").alias("prev_rank_day"), F.lit(STATUS_CHART_OUT).alias("status_day"),
-    )
 
+    def __init__(self, deal: Callable[[tuple[int, ...]], DataFrame]):
+        self.deal = deal
 
-class ChangeSet:
-    """Annotated rows, chart-outs and the baselines behind them, built lazily.
+    def _rows(self, role: int) -> DataFrame:
+        return self.deal((role,)).filter(F.col("role") == role)
 
-    ``current`` may carry ``has_week`` (the report has a weekly baseline with
-    clean rows); otherwise it is found from the baseline rows.
-    """
+    @property
+    def current(self) -> DataFrame:
+        return self._rows(CURRENT).drop("role", "base_captured_at", "comparable")
+
+    @property
+    def base_day(self) -> DataFrame:
+        return self._rows(DAY).select(*REPORT_KEY, "base_captured_at", *_BASE_COLS)
 
-    def __init__(self, current: DataFrame, base_day: DataFrame, base_week: DataFrame,
-                 reports: DataFrame):
-        self.current = current
-        self.base_day = base_day
-        self.base_week = base_week
-        self.reports = reports
+    @property
+    def base_week(self) -> DataFrame:
+        return self._rows(WEEK).select(*REPORT_KEY, "base_captured_at", *_BASE_COLS)
 
-    def top(self, limit: int) -> ChangeSet:
-        """Only rows that can be among the first ``limit`` of their report.
+    @property
+    def reports(self) -> DataFrame:
+        return self.deal((CURRENT, SEEN)).select(*REPORT_KEY).distinct()
 
-        The comparisons never drop a row, so cutting before them is safe; rows
-        tied at the cut stay (each map task forwards no more than it has to).
+    def compared(self, *roles: int) -> DataFrame:
+        """Every dealt row with what its report holds: one exchange, one sort.
+
+        ``is_report``: the report exists; ``has_week``: it has a weekly baseline;
+        ``day_ranks``, ``week_ranks``: ranks of the rows with the same match key in
+        its baselines; ``now``: a current row has that key.
         """
-        w = Window.partitionBy(*REPORT_KEY).orderBy("rank", "brand_key", "product_key")
-        cut = self.current.withColumn("_pos", F.rank().over(w)).filter(F.col("_pos") <= limit).drop("_pos")
-        return ChangeSet(cut, self.base_day, self.base_week, self.reports)
+        dealt = self.deal(roles or (CURRENT, DAY, WEEK, SEEN))
+        report, row = Window.partitionBy(*REPORT_KEY), Window.partitionBy(*ROW_KEY)
+        role = F.col("role")
+        dealt = dealt.repartition(*REPORT_KEY).sortWithinPartitions(*ROW_KEY)
+        dealt = dealt.withColumns({"is_report": F.max(role.isin(CURRENT, SEEN)).over(report),
+                                   "has_week": F.max(role == WEEK).over(report)})
+        return dealt.withColumns({"day_ranks": F.collect_list(F.when(role == DAY, F.col("rank"))).over(row),
+                                  "week_ranks": F.collect_list(F.when(role == WEEK, F.col("rank"))).over(row),
+                                  "now": F.max(role == CURRENT).over(row)})
 
     def daily(self) -> DataFrame:
-        return annotate(self.current, self.base_day, "day").drop("has_week")
+        """Previous rank, delta and status of every current row; duplicate keys
+        multiply rows, as a join does.  Without a baseline every row is new."""
+        return _daily(self.compared(CURRENT, DAY)).drop(*_HELPERS)
 
     def weekly(self) -> DataFrame:
-        day = annotate(self.current, self.base_day, "day")
-        if "has_week" not in day.columns:
-            return annotate(day, self.base_week, "week", present=baseline_present(self.base_week), absent_status=STATUS_SAME)
-        out = annotate(day, self.base_week, "week")
-        return out.withColumn("status_week", F.when(F.col("has_week"), F.col("status_week")).otherwise(F.lit(STATUS_SAME))).drop("has_week")
+        """A report without a weekly baseline gets the unchanged status."""
+        d = _daily(self.compared(CURRENT, DAY, WEEK)).withColumn("prev_rank_week", F.explode_outer("week_ranks"))
+        d = d.withColumn("delta_week", F.col("prev_rank_week") - F.col("rank"))
+        status = F.when(F.col("has_week"), movement_status("delta_week")).otherwise(F.lit(STATUS_SAME))
+        return d.withColumn("status_week", status).drop(*_HELPERS)
 
     def chart_outs(self) -> DataFrame:
-        return chart_outs(self.current, self.base_day, self.reports)
+        """Day baseline rows of existing reports whose key no current row has."""
+        gone = self.compared(CURRENT, DAY, SEEN).filter(
+            (F.col("role") == DAY) & F.col("is_report") & ~F.col("now"))
+        return gone.select(
+            "channel", "captured_at", "brand", "product", "brand_key", "product_key",
+            F.col("rank").alias("prev_rank_day"), F.lit(STATUS_CHART_OUT).alias("status_day"))
+
+
+_HELPERS = ("role", "base_captured_at", "comparable", "is_report", "has_week", "day_ranks", "week_ranks", "now")
+
+
+def _daily(compared: DataFrame) -> DataFrame:
+    d = compared.filter(F.col("role") == CURRENT).withColumn("prev_rank_day", F.explode_outer("day_ranks"))
+    d = d.withColumn("delta_day", F.col("prev_rank_day") - F.col("rank"))
+    return d.withColumn("status_day", movement_status("delta_day"))
 
 
 def dedup_keys(clean: DataFrame, group: list[str], order: tuple[str, ...] = ("rank", "id"), limit: int | None = None) -> DataFrame:
@@ -141,13 +137,63 @@ def by_offset(rows: DataFrame, day_days=DAY_OFFSET_DAYS, week_days=WEEK_OFFSET_D
     """Every snapshot is a report; baselines are the snapshots exactly
     ``day_days`` / ``week_days`` earlier.  ``dedup``: match keys are made
     unique within each snapshot first (else they multiply rows)."""
-    rows = staged(rows, "rows")  # cleaned below once per branch from a pruned scan
-    clean = preprocess(rows)
+    marked = mark_comparable(rows)
     if dedup:
-        clean = dedup_keys(clean, REPORT_KEY)
-    reports = normalise_names(rows.select("channel", "captured_at"), ("channel",)).distinct()
-    return ChangeSet(clean, baseline_by_offset(clean, day_days),
-                     baseline_by_offset(clean, week_days), reports)
+        marked = dedup_keys(marked, [*REPORT_KEY, "comparable"])
+    at = {CURRENT: F.col("captured_at"), DAY: _shift(day_days)(F.col("captured_at")), WEEK: _shift(week_days)(F.col("captured_at"))}
+
+    def deal(roles):
+        # a row without capture time serves no later report
+        served = [F.when(F.lit(r == CURRENT) | F.col("captured_at").isNotNull(),
+                         F.struct(F.lit(r).alias("role"), at[r].alias("report_at"))) for r in (CURRENT, DAY, WEEK) if r in roles]
+        none = F.lit(None).cast("array<struct<role: int, report_at: timestamp_ntz>>")
+        wanted = F.when(F.col("comparable"), F.array_compact(F.array(*served)) if served else none)
+        if SEEN in roles:
+            wanted = wanted.otherwise(F.array(F.struct(F.lit(SEEN).alias("role"), F.col("captured_at").alias("report_at"))))
+        dealt = marked.withColumn("_r", F.explode(wanted)).withColumnRenamed("captured_at", "base_captured_at")
+        return dealt.withColumns({"role": F.col("_r.role"), "captured_at": F.col("_r.report_at")}).drop("_r")
+    return ChangeSet(deal)
+
+
+def dealing(cat: DataFrame, latest: DataFrame, pairs: DataFrame, day_days: int, week_days: int) -> DataFrame:
+    """(channel, captured_at, created_at, report_at, role): which batch serves which report, from metadata alone."""
+    now = cat.join(latest.select(*REPORT_KEY), REPORT_KEY).select(
+        *REPORT_KEY, "created_at", F.col("captured_at").alias("report_at"), F.lit(CURRENT).alias("role"))
+    picks = pairs.filter("base_created_at is not null").select(
+        "channel", F.col("base_created_at").alias("created_at"), F.col("captured_at").alias("report_at"),
+        F.when(F.col("offset_days") == day_days, DAY).when(F.col("offset_days") == week_days, WEEK).alias("role"))
+    base = cat.join(picks, ["channel", "created_at"]).select(*REPORT_KEY, "created_at", "report_at", "role")
+    return now.unionByName(base)
+
+
+def deal_batches(marked: DataFrame, serves: DataFrame, more: tuple[str, ...] = ()) -> Callable[[tuple[int, ...]], DataFrame]:
+    """The ``deal`` of a change set whose rows find their reports through ``serves``.
+
+    One equi-join of the rows with metadata; ``more`` names further columns that
+    both sides share (partition columns of a stored table).
+    """
+    s = serves.withColumnsRenamed({c: f"_{c}" for c in ("channel", "captured_at", "created_at", *more)})
+    same = (F.col("channel") == F.col("_channel")) & F.col("captured_at").eqNullSafe(F.col("_captured_at")) \
+        & F.col("created_at").eqNullSafe(F.col("_created_at"))
+    for c in more:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+
+    def deal(roles):
+        asked = [CURRENT if r == SEEN else r for r in roles]
+        served = s.filter(F.col("role").isin(*asked))
+        dealt = marked.join(served, same).drop("_channel", "_captured_at", "_created_at", *[f"_{c}" for c in more])
+        dealt = dealt.withColumn("role", F.when(F.col("comparable"), F.col("role")).when(F.col("role") == CURRENT, F.lit(SEEN)))
+        dealt = dealt.filter(F.col("role").isin(*roles))
+        return dealt.withColumnsRenamed({"captured_at": "base_captured_at", "report_at": "captured_at"})
+    return deal
+
+
+def at_run_time(latest: DataFrame, run_at: dt.datetime | None):
+    """(latest snapshots of the run's day, run time as a column); all days when there is no run time."""
+    if run_at is None:
+        return latest, None
+    at = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
+    return latest.filter(F.col("day") == day_start(at)), at
 
 
 def by_resolution(rows: DataFrame, day_days: int = DAY_OFFSET_DAYS, week_days: int = WEEK_OFFSET_DAYS,
@@ -157,34 +203,16 @@ def by_resolution(rows: DataFrame, day_days: int = DAY_OFFSET_DAYS, week_days: i
 
     ``run_at``: only that day's reports, with targets counted from the run time
     instead of each snapshot's capture time.  Returns the change set and the
-    day/week pick tables.
+    day/week pick tables.  The rows are cleaned and written once; the catalogue
+    of batches comes from that copy.
     """
-    # one row per batch / report, i.e. metadata, made once
-    cat = staged(B.catalogue(rows), "catalogue")
-    latest = B.latest_per_day(cat)
-    at = None
-    if run_at is not None:
-        at = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
-        latest = latest.filter(F.col("day") == day_start(at))
-    offsets = (day_days, week_days)
-    pairs = staged(B.resolve(B.requests(latest, offsets, at), cat), "picks")
-    # rows that serve no report are not cleaned: the batches in use are a join of metadata
-    used = pairs.filter("base_created_at is not null").select("channel", F.col("base_created_at").alias("created_at")).distinct()
-    named = normalise_names(rows, ("channel",))
-    if run_at is not None:
-        now = named.join(latest.select(*REPORT_KEY), REPORT_KEY, "left_semi")
-        rows = now.unionByName(named.join(used, ["channel", "created_at"], "left_semi")).dropDuplicates(["id", *REPORT_KEY])
-    clean = staged(preprocess(rows), "clean")
-    full = (clean.groupBy("channel", "created_at").agg(F.count(F.lit(1)).alias("n"))
-            .select("channel", F.col("created_at").alias("base_created_at"), F.lit(True).alias("_has")))
+    marked = staged(mark_comparable(rows), "marked")
+    cat = staged(B.catalogue(marked), "catalogue")  # one row per batch, i.e. metadata
+    latest, at = at_run_time(B.latest_per_day(cat), run_at)
+    pairs = staged(B.resolve(B.requests(latest, (day_days, week_days), at), cat), "picks")
     day_pairs = pairs.filter(F.col("offset_days") == day_days).drop("offset_days")
     week_pairs = pairs.filter(F.col("offset_days") == week_days).drop("offset_days")
-    flags = (week_pairs.join(full, ["channel", "base_created_at"], "left")
-             .select(*REPORT_KEY, F.coalesce("_has", F.lit(False)).alias("has_week")))
-    current = clean.join(flags, REPORT_KEY)
-    cs = ChangeSet(current, baseline_by_pick(clean, day_pairs),
-                   baseline_by_pick(clean, week_pairs), week_pairs.select(*REPORT_KEY))
-    return cs, day_pairs, week_pairs
+    return ChangeSet(deal_batches(marked, dealing(cat, latest, pairs, day_days, week_days))), day_pairs, week_pairs
 
 
 def report_channels(names, build, write) -> dict[str, str]:

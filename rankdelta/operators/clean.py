@@ -82,19 +82,26 @@ def normalise_names(df: DataFrame, cols: Iterable[str] = ("brand", "channel")) -
     return df.withColumns({c: clean_title_plain(c) for c in present}) if present else df
 
 
+def mark_comparable(df: DataFrame) -> DataFrame:
+    """The chain of ``preprocess`` without its filters: ``comparable`` tells which rows pass them."""
+    out, keep = df, F.lit(True)
+    if "product" in out.columns:
+        out = out.withColumn("_named", F.col("product").isNotNull()).withColumn("product", clean_title("product"))
+        keep = F.col("_named")
+    if "rank" in out.columns:
+        out = out.withColumn("rank", numeric_rank(F.col("rank"), out.schema["rank"].dataType))
+        keep = keep & F.col("rank").isNotNull()
+    out = normalise_names(out.withColumn("comparable", keep).drop("_named"))
+    return with_match_keys(out)
+
+
 def preprocess(df: DataFrame) -> DataFrame:
     """STR-6: the chain every compared snapshot goes through.
 
     product present -> drop NULL products, clean titles (variant A);
     rank present -> PRJ-4; brand/channel -> STR-5; then match keys.
     """
-    out = df
-    if "product" in out.columns:
-        out = out.filter(F.col("product").isNotNull()).withColumn("product", clean_title("product"))
-    if "rank" in out.columns:
-        out = clean_rank(out)
-    out = normalise_names(out)
-    return with_match_keys(out)
+    return mark_comparable(df).filter("comparable").drop("comparable")
 
 
 def collector_clean(df: DataFrame) -> DataFrame:

@@ -10,15 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankdelta.functions.status import minute_label, snapshot_label, trend_class
+from rankdelta.functions.status import minute_label, movement_status, snapshot_label, trend_class
+from rankdelta.operators.changes import CURRENT, DAY, REPORT_KEY, WEEK
 from rankdelta.schema import (
     DIGEST_CHART_OUT_HEAD, DIGEST_COUNT_KEEP, DIGEST_COUNT_NEW, DIGEST_DAY_BASE,
     DIGEST_NO_DATA, DIGEST_WEEK_BASE, STATUS_DOWN, STATUS_NEW, STATUS_SAME, STATUS_UP,
     ReportParams,
 )
-from rankdelta.session import staged
 
-REPORT_KEY = ["channel", "captured_at"]
 # Tie-breaks appended to every rank order so results are deterministic.
 _TIES = ["brand_key", "product_key"]
 
@@ -85,6 +84,39 @@ def with_trend(report: DataFrame) -> DataFrame:
                                "trend_week": trend_class("status_week")})
 
 
+def _tiers(p: ReportParams) -> Column:
+    """The tiers a row enters, with their two sort values: array of (tier, o1, o2)."""
+    size = F.abs(F.col("delta_day"))
+    seen = (F.col("rank") <= p.report_limit) & F.col("status_day").isNotNull() & ~F.col("status_day").isin("", STATUS_SAME)
+    least = F.lit(0) if p.tier2_include_new else F.when(F.col("status_day") == STATUS_NEW, F.lit(1)).otherwise(F.lit(0))
+    moved = F.coalesce(size, F.lit(0)) > least
+    if p.tier2_include_new:
+        moved = moved | (F.col("status_day") == STATUS_NEW)
+
+    def tier(n, when, o1, o2):
+        return F.when(seen & when, F.struct(F.lit(n).alias("tier"), o1.cast("int").alias("o1"), o2.cast("int").alias("o2")))
+    return F.array_compact(F.array(
+        tier(1, size >= p.min_move, -size, F.col("rank")),
+        tier(2, F.lower("brand").isin(*p.watch_brands) & moved, -size, F.col("rank")),
+        tier(3, F.col("rank") <= p.top_rank, F.col("rank"), F.lit(0))))
+
+
+def _chosen_lines(cand: DataFrame, p: ReportParams) -> DataFrame:
+    """Adds ``line_no`` and ``line`` to rows exploded to their tiers (column ``t``); null where a row gives no line."""
+    report = Window.partitionBy(*REPORT_KEY)
+    order = [F.col("t.tier"), F.col("t.o1"), F.col("t.o2"), F.col("delta_day").desc_nulls_last(), *[F.col(t) for t in _TIES]]
+    t1_keys = F.size(F.collect_set(F.when(F.col("t.tier") == 1, F.struct("brand", "product"))).over(report))
+    gate = (F.col("t.tier") != 2) | (F.least(F.col("_t1"), F.lit(p.highlight_max)) < p.tier2_gate)
+    cand = cand.withColumn("_t1", t1_keys).withColumn("_in", F.col("t").isNotNull() & F.coalesce(gate, F.lit(False)))
+    first = F.row_number().over(Window.partitionBy(*REPORT_KEY, "brand", "product", "_in").orderBy(*order)) == 1
+    cand = cand.withColumn("_in", F.col("_in") & first)
+    no = F.row_number().over(Window.partitionBy(*REPORT_KEY, "_in").orderBy(*order)).cast("int")
+    line = F.concat(F.lit("  "), F.col("status_day"), F.lit(": "), F.col("brand"), F.lit(" - "),
+                    F.col("product"), F.lit("(#"), F.col("rank").cast("string"), F.lit(")"))
+    cand = cand.withColumn("line_no", F.when(F.col("_in") & (no <= p.highlight_max), no))
+    return cand.withColumn("line", F.when(F.col("line_no").isNotNull(), line)).drop("_t1", "_in")
+
+
 def highlights(annotated: DataFrame, p: ReportParams = ReportParams()) -> DataFrame:
     """At most ``highlight_max`` lines per report, unique by (brand, product).
 
@@ -92,39 +124,13 @@ def highlights(annotated: DataFrame, p: ReportParams = ReportParams()) -> DataFr
     Tier 2 (only while tier 1 gave fewer than ``tier2_gate`` lines):
       watch-list brands that moved, same order.
     Tier 3: rank <= top_rank and not unchanged, by rank.
-    Tiers are unioned; the gate is applied before de-duplication, a key keeps
-    its first (tier, order) occurrence, and the first lines per report win.
+    The gate is applied before de-duplication, a key keeps its first (tier,
+    order) occurrence, and the first lines per report win.  A row is exploded to
+    the tiers it enters, so the annotated rows are read once.
     """
-    a = (annotated.filter(F.col("rank") <= p.report_limit)
-         .withColumn("abs_delta", F.abs(F.col("delta_day"))))
-    has_status = F.col("status_day").isNotNull() & ~F.col("status_day").isin("", STATUS_SAME)
-    a = a.filter(has_status)
-    moved = F.coalesce(F.col("abs_delta"), F.lit(0)) > (
-        F.when(F.col("status_day") == STATUS_NEW, F.lit(1)).otherwise(F.lit(0))
-        if not p.tier2_include_new else F.lit(0))
-    if p.tier2_include_new:
-        moved = moved | (F.col("status_day") == STATUS_NEW)
-    by_move = [(-F.col("abs_delta")).alias("o1"), F.col("rank").alias("o2")]
-    t1 = a.filter(F.col("abs_delta") >= p.min_move).select("*", F.lit(1).alias("tier"), *by_move)
-    t2 = (a.filter(F.lower("brand").isin(*p.watch_brands) & moved)
-          .select("*", F.lit(2).alias("tier"), *by_move))
-    t3 = (a.filter(F.col("rank") <= p.top_rank)
-          .select("*", F.lit(3).alias("tier"), F.col("rank").alias("o1"), F.lit(0).alias("o2")))
-    cand = t1.unionByName(t2).unionByName(t3)
-    order = [F.col("tier"), F.col("o1"), F.col("o2"), F.col("delta_day").desc_nulls_last(),
-             *[F.col(t) for t in _TIES]]
-    report = Window.partitionBy(*REPORT_KEY)
-    t1_keys = F.size(F.collect_set(F.when(F.col("tier") == 1, F.struct("brand", "product"))).over(report))
-    gated = cand.withColumn("_t1", t1_keys).filter(
-        (F.col("tier") != 2) | (F.least(F.col("_t1"), F.lit(p.highlight_max)) < p.tier2_gate))
-    first = gated.withColumn("_k", F.row_number().over(
-        Window.partitionBy(*REPORT_KEY, "brand", "product").orderBy(*order))).filter(F.col("_k") == 1)
-    lined = first.withColumn("line_no", F.row_number().over(report.orderBy(*order)).cast("int")) \
-        .filter(F.col("line_no") <= p.highlight_max)
-    line = F.concat(F.lit("  "), F.col("status_day"), F.lit(": "), F.col("brand"), F.lit(" - "),
-                    F.col("product"), F.lit("(#"), F.col("rank").cast("string"), F.lit(")"))
-    return lined.select(*REPORT_KEY, "line_no", F.col("tier").cast("int").alias("tier"),
-                        "brand", "product", "rank", "status_day", line.alias("line"))
+    cand = annotated.filter(F.col("rank") <= p.report_limit).withColumn("t", F.explode(_tiers(p)))
+    lined = _chosen_lines(cand, p).filter(F.col("line_no").isNotNull())
+    return lined.select(*REPORT_KEY, "line_no", F.col("t.tier").alias("tier"), "brand", "product", "rank", "status_day", "line")
 
 
 def baseline_labels(base: DataFrame) -> DataFrame:
@@ -140,53 +146,55 @@ def pick_labels(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("pick_label", minute_label("base_created_at"))
 
 
-def _label_line(prefix: str, label: Column) -> Column:
-    return F.concat(F.lit(prefix), F.coalesce(label, F.lit(DIGEST_NO_DATA)))
-
-
-def digest(reports: DataFrame, annotated: DataFrame, chart_out: DataFrame,
-           day_label: DataFrame, week_label: DataFrame,
-           p: ReportParams = ReportParams()) -> DataFrame:
-    """FMT-5: one text digest per report.
+def digest(compared: DataFrame, p: ReportParams = ReportParams()) -> DataFrame:
+    """FMT-5: one text digest per report, from the compared rows of a change set.
 
     Lines: day/week baseline labels (or "no data"), a blank, the movement
-    count line, highlight lines plus a blank, then the chart-out block.  Each
-    report has at most 2 + 1 + 1 + 7 + 1 + 1 + 5 lines, so gathering them
-    with collect_list is bounded.
+    count line, highlight lines plus a blank, then the chart-out block.  The rows
+    lie by report already, so labels, counts, lines and chart-outs come from one
+    aggregate without a further exchange; it gathers at most 7 + 5 lines.
     """
-    # five branches below read the annotated rows and the chart-outs
-    annotated, chart_out = staged(annotated, "annotated"), staged(chart_out, "chart-outs")
-    r = reports.select(*REPORT_KEY)
-    dl = day_label.select(*REPORT_KEY, F.col("label").alias("day_label"))
-    wl = week_label.select(*REPORT_KEY, F.col("label").alias("week_label"))
-    heads = r.join(dl, REPORT_KEY, "left").join(wl, REPORT_KEY, "left")
-    lines = [
-        heads.select(*REPORT_KEY, F.lit(1).alias("line_no"), _label_line(DIGEST_DAY_BASE, F.col("day_label")).alias("line")),
-        heads.select(*REPORT_KEY, F.lit(2).alias("line_no"), _label_line(DIGEST_WEEK_BASE, F.col("week_label")).alias("line")),
-        heads.select(*REPORT_KEY, F.lit(3).alias("line_no"), F.lit("").alias("line")),
-    ]
-    present = annotated.select(*REPORT_KEY).distinct()
-    counts = present.join(movement_counts(annotated, p), REPORT_KEY, "left").fillna(0)
-    count_line = F.concat(
-        F.lit("["), F.col("channel"), F.lit(f"] {STATUS_UP} "), F.col("up_count").cast("string"),
-        F.lit(f" / {STATUS_DOWN} "), F.col("down_count").cast("string"),
-        F.lit(f" / {DIGEST_COUNT_NEW} "), F.col("new_count").cast("string"),
-        F.lit(f" / {DIGEST_COUNT_KEEP} "), F.col("keep_count").cast("string"))
-    lines.append(counts.select(*REPORT_KEY, F.lit(4).alias("line_no"), count_line.alias("line")))
-    hl = highlights(annotated, p)
-    lines.append(hl.select(*REPORT_KEY, (F.col("line_no") + 10).alias("line_no"), "line"))
-    lines.append(hl.select(*REPORT_KEY).distinct().select(*REPORT_KEY, F.lit(30).alias("line_no"), F.lit("").alias("line")))
-    head_text = F.concat(F.lit(DIGEST_CHART_OUT_HEAD.split("{n}")[0]), F.col("chart_out_count").cast("string"),
-                         F.lit(DIGEST_CHART_OUT_HEAD.split("{n}")[1]))
-    lines.append(chart_out_counts(chart_out, p).select(*REPORT_KEY, F.lit(40).alias("line_no"), head_text.alias("line")))
-    top = chart_out_top(chart_out, p)
-    drop_line = F.concat(F.lit("  #"), F.col("prev_rank_day").cast("string"), F.lit(" "),
-                         F.col("brand"), F.lit(" - "), F.col("product"))
-    lines.append(top.select(*REPORT_KEY, (F.col("pos") + 40).alias("line_no"), drop_line.alias("line")))
-    allx = lines[0]
-    for extra in lines[1:]:
-        allx = allx.unionByName(extra)
-    allx = allx.join(r, REPORT_KEY, "left_semi")
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))),
-                                    lambda s: s["line"]), "\n")
-    return allx.groupBy(*REPORT_KEY).agg(text.alias("digest"), F.count(F.lit(1)).alias("n_lines"))
+    role, rank = F.col("role"), F.col("rank")
+    rows = compared.filter(F.col("is_report"))
+    rows = rows.withColumn("prev_rank_day", F.explode_outer(F.when(role == CURRENT, F.col("day_ranks"))))
+    rows = rows.withColumn("delta_day", F.when(role == CURRENT, F.col("prev_rank_day") - rank))
+    rows = rows.withColumn("status_day", F.when(role == CURRENT, movement_status("delta_day")))
+    rows = rows.select("*", F.posexplode_outer(_tiers(p)).alias("_i", "t"))
+    rows = _chosen_lines(rows, p)
+    once = F.coalesce(F.col("_i"), F.lit(0)) == 0  # a row counts once, however many tiers it enters
+    shown = once & (role == CURRENT) & (rank <= p.report_limit)
+    gone = (role == DAY) & ~F.col("now") & (rank <= p.report_limit)
+    rows = rows.withColumn("_gone", F.coalesce(gone, F.lit(False)))
+    pos = F.row_number().over(Window.partitionBy(*REPORT_KEY, "_gone").orderBy("rank", *_TIES))
+    rows = rows.withColumn("_pos", F.when(F.col("_gone") & (pos <= p.chart_out_top), pos))
+    drop_line = F.concat(F.lit("  #"), rank.cast("string"), F.lit(" "), F.col("brand"), F.lit(" - "), F.col("product"))
+
+    def base_label(which):
+        dated = (role == which) & F.col("base_captured_at").isNotNull()
+        return snapshot_label(F.min_by("base_captured_at", F.when(dated, F.struct("rank", *_TIES))))
+
+    def lines(when, no, text):
+        found = F.sort_array(F.collect_list(F.when(when, F.struct(no.alias("no"), text.alias("line")))))
+        return F.transform(found, lambda x: x["line"])
+
+    per = rows.groupBy(*REPORT_KEY).agg(
+        base_label(DAY).alias("day_label"), base_label(WEEK).alias("week_label"),
+        F.count_if(once & (role == CURRENT)).alias("n"),
+        F.count_if(shown & (F.col("delta_day") > 0)).cast("string").alias("up"),
+        F.count_if(shown & (F.col("delta_day") < 0)).cast("string").alias("down"),
+        F.count_if(shown & (F.col("status_day") == STATUS_NEW)).cast("string").alias("new"),
+        F.count_if(shown & (F.col("status_day") == STATUS_SAME)).cast("string").alias("keep"),
+        lines(F.col("line_no").isNotNull(), F.col("line_no"), F.col("line")).alias("highlights"),
+        F.count_if("_gone").alias("n_gone"), lines(F.col("_pos").isNotNull(), F.col("_pos"), drop_line).alias("gone"))
+    none = F.array().cast("array<string>")
+    counts = F.concat(F.lit("["), F.col("channel"), F.lit(f"] {STATUS_UP} "), F.col("up"), F.lit(f" / {STATUS_DOWN} "), F.col("down"),
+                      F.lit(f" / {DIGEST_COUNT_NEW} "), F.col("new"), F.lit(f" / {DIGEST_COUNT_KEEP} "), F.col("keep"))
+    before, after = DIGEST_CHART_OUT_HEAD.split("{n}")
+    head = F.concat(F.lit(before), F.col("n_gone").cast("string"), F.lit(after))
+    text = F.concat(
+        F.array(F.concat(F.lit(DIGEST_DAY_BASE), F.coalesce("day_label", F.lit(DIGEST_NO_DATA))),
+                F.concat(F.lit(DIGEST_WEEK_BASE), F.coalesce("week_label", F.lit(DIGEST_NO_DATA))), F.lit("")),
+        F.when(F.col("n") > 0, F.array(counts)).otherwise(none),
+        F.when(F.size("highlights") > 0, F.array_append("highlights", F.lit(""))).otherwise(none),
+        F.when(F.col("n_gone") > 0, F.array_prepend("gone", head)).otherwise(none))
+    return per.select(*REPORT_KEY, F.array_join(text, "\n").alias("digest"), F.size(text).cast("long").alias("n_lines"))

@@ -17,6 +17,7 @@ from rankdelta.plans import feeds
 from rankdelta.plans import sqlfrag as S
 from rankdelta.plans.registry import query
 from rankdelta.schema import ReportParams, STATUS_SAME
+from rankdelta.session import staged
 
 SNAP = "id, rank, brand, product, old_price, price, captured_at, channel, created_at"
 ANN_DAY = f"{SNAP}, brand_key, product_key, prev_rank_day, delta_day, status_day"
@@ -159,7 +160,7 @@ def latest_snapshot(spark, d):
 
 
 def _requests(rows):
-    cat = B.catalogue(rows)
+    cat = staged(B.catalogue(rows), "catalogue")
     return B.requests(B.latest_per_day(cat), (1, 7)), cat
 
 
@@ -172,7 +173,7 @@ def baseline_nearest(spark, d):
 @query("baseline_asof", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, asof_created_at FROM asofp"),
        ids=("J5",))
 def baseline_asof(spark, d):
-    return B.asof_pick(*_requests(feeds.feed_slot(spark, d)))
+    return B.asof_pick(*_requests(feeds.feed_slot(spark, d))).drop("target_at")
 
 
 @query("baseline_resolve", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, target_at, base_created_at, how FROM pick"),
@@ -213,7 +214,7 @@ WHERE pos <= 50"""
 
 @query("report_top_n", oracle=_with(SLOT_CHAIN, _TOP_SQL), ids=("W4", "PRJ-3", "PRC-4", "FMT-3", "ORD-1"))
 def report_top_n(spark, d):
-    return R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].top(EVENT_PARAMS.report_limit).weekly(), EVENT_PARAMS)
+    return R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS)
 
 
 @query("trend_class", oracle=_with(SLOT_CHAIN, f"""
@@ -221,7 +222,7 @@ SELECT *, CASE WHEN starts_with(status_day, '▲') THEN 'up' WHEN starts_with(st
           CASE WHEN starts_with(status_week, '▲') THEN 'up' WHEN starts_with(status_week, '▼') THEN 'down' ELSE '' END AS trend_week
 FROM ({_TOP_SQL}) x"""), ids=("FMT-4",))
 def trend_class(spark, d):
-    return R.with_trend(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].top(EVENT_PARAMS.report_limit).weekly(), EVENT_PARAMS))
+    return R.with_trend(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS))
 
 
 @query("baseline_labels", oracle=_with(SLOT_CHAIN, """
@@ -324,10 +325,7 @@ GROUP BY channel, captured_at"""
 
 @query("digest_text", oracle=_with(HALF_CHAIN, _DIGEST_SQL), ids=("FMT-5", "A2", "A4", "W2", "W3", "A7"))
 def digest_text(spark, d):
-    cs = C.by_offset(feeds.feed_half(spark, d))
-    daily = cs.daily()
-    return R.digest(cs.reports, daily, cs.chart_outs(), R.baseline_labels(cs.base_day),
-                    R.baseline_labels(cs.base_week), HALF_PARAMS)
+    return R.digest(C.by_offset(feeds.feed_half(spark, d)).compared(), HALF_PARAMS)
 
 
 # ---------------------------------------------------------------------------
@@ -775,5 +773,5 @@ SELECT captured_at, pos, rank AS "랭킹", brand AS "브랜드", product AS "제
 FROM ({_TOP_SQL}) x"""), ids=("SRC-11",))
 def report_roundtrip(spark, d):
     path = scratch_path(spark, "report")
-    RS.write_report(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].top(EVENT_PARAMS.report_limit).weekly(), EVENT_PARAMS), path, "csv")
+    RS.write_report(R.top_n(C.by_resolution(feeds.feed_slot(spark, d))[0].weekly(), EVENT_PARAMS), path, "csv")
     return RS.read_report(spark, path, "csv")
