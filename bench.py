@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from rankdelta.plans.registry import load_all  # noqa: E402
-from rankdelta.session import build_session  # noqa: E402
+from rankdelta.session import build_session, staging  # noqa: E402
 
 HEADLINE = [
     "rank_change_daily", "rank_change_weekly", "chart_out", "baseline_resolve", "rank_report",
@@ -40,7 +40,8 @@ def main() -> None:
         for i in range(runs + 1):
             spark.catalog.clearCache()  # every run starts from the parquet files
             t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            with staging():
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             if i:
                 samples.append(time.perf_counter() - t0)
         timings[name] = round(statistics.median(samples), 3)

@@ -12,15 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankdelta.session import staged
+from rankdelta.session import input_bytes, staged
 
+PART_BYTES = 128 << 20  # input of a part, about
 _PLACE = (1 << 33) - 1  # monotonically_increasing_id: partition above, place below
 
 
 def numbered(df: DataFrame, order: list[str], name: str = "row_no", start: int = 1) -> DataFrame:
     """``name`` = start, start+1, ... in ``order``, which must be total."""
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as many parts as the input's bytes ask for: an explicit count is not merged or split later
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // PART_BYTES))
     laid = staged(df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                   .withColumn("_at", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_at", 33)

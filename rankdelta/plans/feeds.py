@@ -13,7 +13,10 @@ from rankdelta.functions.status import day_start, plus_hours
 from rankdelta.session import table  # noqa: F401  (re-exported for queries)
 
 
-USERS_PER_CHANNEL = 5
+# Most users share one channel, whose snapshots grow with the data; a tenth of
+# them is spread over small channels, where whole days go by without a snapshot.
+SPARSE_SHARE, USERS_PER_CHANNEL = 10, 5
+MAIN_CHANNEL = "main"
 
 
 def _dec_text(c: str) -> Column:
@@ -25,8 +28,9 @@ def _ranked_events(spark: SparkSession, sf_dir: str, capture: Column, *,
                    unique_names: bool = True) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     channel = F.col("event_type")
-    if sparse:  # few users each, so that whole days go by without a snapshot
-        channel = F.concat(channel, F.lit("-"), F.floor(F.col("user_id") / USERS_PER_CHANNEL).cast("string"))
+    if sparse:
+        few = F.floor(F.col("user_id") / (SPARSE_SHARE * USERS_PER_CHANNEL)).cast("string")
+        channel = F.when(F.col("user_id") % SPARSE_SHARE == 0, F.concat(channel, F.lit("-"), few)).otherwise(F.lit(MAIN_CHANNEL))
     grouped = ev.groupBy(
         channel.alias("channel"), capture.alias("captured_at"), "user_id"
     ).agg(
@@ -66,9 +70,9 @@ def feed_day(spark: SparkSession, sf_dir: str, unique_names: bool = True) -> Dat
 
 
 def feed_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four 6-hour snapshots a day of channels of a few users each, created_at =
-    last event of the slot.  Many slots and some days of a channel hold no event,
-    so baselines must fall back."""
+    """Four 6-hour snapshots a day, created_at = last event of the slot: one large
+    channel, and small ones of a few users each.  Many slots and days of a small
+    channel hold no event, so baselines must fall back."""
     capture = plus_hours(day_start("ts"), F.floor(F.hour("ts") / 6) * 6)
     return _ranked_events(spark, sf_dir, capture, created_from_slot=True, sparse=True)
 

@@ -26,7 +26,7 @@ CO_COLS = "channel, captured_at, brand, product, brand_key, product_key, prev_ra
 
 # Report parameters for the event-derived feeds: "$" prices on two channels,
 # even-numbered brands as the watch-list of the half-day feed.
-EVENT_PARAMS = ReportParams(dollar_channels=("click-0", "purchase-1"))
+EVENT_PARAMS = ReportParams(dollar_channels=("click-0", "main"))
 HALF_PARAMS = ReportParams(watch_brands=feeds.watch_brands_even(), dollar_channels=("click", "purchase"))
 
 
@@ -204,7 +204,7 @@ def rank_report_chart_out(spark, d):
 
 _TOP_SQL = f"""
 SELECT channel, captured_at, pos, rank, brand, product,
-       CASE WHEN channel IN ('click-0', 'purchase-1') AND price IS NOT NULL THEN '$' || price ELSE price END AS price,
+       CASE WHEN channel IN ('click-0', 'main') AND price IS NOT NULL THEN '$' || price ELSE price END AS price,
        coalesce(status_day, '-') AS status_day, coalesce(status_week, '-') AS status_week, '' AS remark
 FROM (SELECT *, CAST(row_number() OVER (PARTITION BY channel, captured_at
              ORDER BY rank, brand_key, product_key, prev_rank_day NULLS FIRST, prev_rank_week NULLS FIRST) AS INTEGER) AS pos
@@ -622,8 +622,8 @@ def collect_pages(spark, d):
     """Stored pages to appended snapshot rows, read back from the table."""
     path = scratch_path(spark, "collected")
     rows = L.collect_pages(feeds.table(spark, d, "pages"), SN.ntz(_dt.datetime(2024, 2, 1, 7, 30)))
-    SN.append_snapshot(spark, rows, path, BATCH_STAMP)
-    return SN.read_snapshots(spark, path).drop("capture_date")
+    LOG.append_batch(spark, rows, path, "crawl", BATCH_STAMP)
+    return LOG.read_table(spark, path).drop("capture_date", "batch")
 
 
 @query("sentinel_rows", oracle=f"""
@@ -640,14 +640,15 @@ def sentinel_rows(spark, d):
 # Snapshot scans, ids, purge, time text, union (SRC-5/6/9/10, DT-1, SET-1)
 # ---------------------------------------------------------------------------
 from rankdelta.functions import status as ST  # noqa: E402
+from rankdelta.sources import snapshot_log as LOG  # noqa: E402
 from rankdelta.sources import snapshots as SN  # noqa: E402
 
-SCAN_CHANNEL, SCAN_START, SCAN_END = "click-0", _dt.datetime(2024, 1, 8), _dt.datetime(2024, 1, 15)
+SCAN_CHANNEL, SCAN_START, SCAN_END = feeds.MAIN_CHANNEL, _dt.datetime(2024, 1, 8), _dt.datetime(2024, 1, 15)
 
 
 @query("scan_day_range", oracle=f"""
 SELECT {SNAP} FROM {S.FEED_SLOT} f
-WHERE channel = 'click-0' AND captured_at >= TIMESTAMP '2024-01-08 00:00:00' AND captured_at < TIMESTAMP '2024-01-15 00:00:00'""",
+WHERE channel = 'main' AND captured_at >= TIMESTAMP '2024-01-08 00:00:00' AND captured_at < TIMESTAMP '2024-01-15 00:00:00'""",
        ids=("SRC-5", "FLT-3"))
 def scan_day_range(spark, d):
     return SN.scan(feeds.feed_slot(spark, d), SCAN_CHANNEL, SCAN_START, SCAN_END)
@@ -749,24 +750,99 @@ SELECT rn + total, rank, brand, product, old_price, price, captured_at, channel,
        TIMESTAMP '2024-02-02 08:00:00', CAST(captured_at AS DATE) FROM n"""), ids=("SRC-7", "SRC-8", "SRC-9"))
 def snapshot_roundtrip(spark, d):
     path = scratch_path(spark, "snapshots")
-    SN.ensure_snapshot_table(spark, path)
+    LOG.create_table(spark, path)
     feed = feeds.feed_day(spark, d)
-    SN.append_snapshot(spark, feed, path, STAMP_1)
-    SN.append_snapshot(spark, feed, path, STAMP_2)
-    return SN.read_snapshots(spark, path)
+    for name, stamp in (("first", STAMP_1), ("second", STAMP_2), ("second", STAMP_2)):  # a batch sent twice is stored once
+        LOG.append_batch(spark, feed, path, name, stamp)
+    return LOG.read_table(spark, path).drop("batch")
 
 
 @query("purge_roundtrip", oracle=_TWO_BATCHES_SQL.format(second=""), ids=("SRC-10", "SRC-8"))
 def purge_roundtrip(spark, d):
     path = scratch_path(spark, "purge")
     feed = feeds.feed_day(spark, d)
+    LOG.append_batch(spark, feed, path, "first", STAMP_1)
+    LOG.append_batch(spark, feed, path, "second", STAMP_2)
+    LOG.purge_table(spark, path)
+    LOG.purge_table(spark, path)  # idempotent
+    return LOG.read_table(spark, path).drop("batch")
+
+
+@query("purge_table_plain", oracle=_TWO_BATCHES_SQL.format(second=""), ids=("SRC-10", "SRC-8"))
+def purge_table_plain(spark, d):
+    """The same over a partitioned folder without a log."""
+    path = scratch_path(spark, "plain")
+    feed = feeds.feed_day(spark, d)
     SN.append_snapshot(spark, feed, path, STAMP_1)
     SN.append_snapshot(spark, feed, path, STAMP_2)
     SN.purge_table(spark, path)
-    SN.purge_table(spark, path)  # idempotent
     return SN.read_snapshots(spark, path)
 
 
+# ---------------------------------------------------------------------------
+# Reports and reads over the stored table (J6, J8, SRC-5, SRC-6, FLT-3)
+# ---------------------------------------------------------------------------
+from rankdelta.operators import stored as ST8  # noqa: E402
+
+
+def _stored(spark, d):
+    """The slot feed as a stored table: odd and even days are imported as two batches."""
+    path = scratch_path(spark, "history")
+    rows = staged(feeds.feed_slot(spark, d), "slots")
+    odd = F.day("captured_at") % 2 == 1
+    LOG.append_batch(spark, rows.filter(odd), path, "odd", keep_stamps=True)
+    LOG.append_batch(spark, rows.filter(~odd), path, "even", keep_stamps=True)
+    return path
+
+
+NO_ID = ", ".join(c for c in SNAP.split(", ") if c != "id")
+ANN_WEEK_NO_ID = ANN_WEEK.replace("id, ", "", 1)
+
+
+@query("report_from_table", oracle=_with(SLOT_CHAIN, f"SELECT {ANN_WEEK_NO_ID} FROM aw"), ids=("J8", "SRC-5"))
+def report_from_table(spark, d):
+    return ST8.report_from_table(spark, _stored(spark, d)).weekly().drop("id")
+
+
+@query("report_from_table_at", oracle=_with(_AT_CHAIN, f"SELECT {ANN_WEEK_NO_ID} FROM aw"), ids=("J8", "SRC-5", "DT-2"))
+def report_from_table_at(spark, d):
+    """The report of one run time; only the folders of its snapshots and baselines are read."""
+    return ST8.report_from_table(spark, _stored(spark, d), RUN_AT).weekly().drop("id")
+
+
+@query("chart_out_from_table", oracle=_with(SLOT_CHAIN, f"SELECT {CO_COLS} FROM co"), ids=("J2", "J8"))
+def chart_out_from_table(spark, d):
+    return ST8.report_from_table(spark, _stored(spark, d)).chart_outs()
+
+
+@query("stored_baselines", oracle=_with(SLOT_CHAIN, "SELECT channel, captured_at, offset_days, target_at, base_created_at, how FROM pick"),
+       ids=("J6", "SRC-5"))
+def stored_baselines(spark, d):
+    return ST8.stored_baselines(spark, _stored(spark, d))
+
+
+@query("scan_stored_range", oracle=f"""
+SELECT {NO_ID} FROM {S.FEED_SLOT} f
+WHERE channel = 'main' AND captured_at >= TIMESTAMP '2024-01-08 00:00:00' AND captured_at < TIMESTAMP '2024-01-15 00:00:00'""",
+       ids=("SRC-5", "FLT-3"))
+def scan_stored_range(spark, d):
+    """The range scan over the partitioned table, whose folders it prunes."""
+    table = LOG.read_table(spark, _stored(spark, d))
+    return SN.scan(table, SCAN_CHANNEL, SCAN_START, SCAN_END, NO_ID.split(", "))
+
+
+@query("point_read", oracle=f"""
+WITH f AS (SELECT * FROM {S.FEED_SLOT} f), newest AS (SELECT max(created_at) AS t FROM f WHERE channel = 'main')
+SELECT rank, brand, product, old_price, price, captured_at, channel, created_at FROM (
+  SELECT f.*, row_number() OVER (ORDER BY rank, id) AS k FROM f, newest WHERE channel = 'main' AND created_at = newest.t) x WHERE k <= 20""",
+       ids=("SRC-6", "LIM-1"))
+def point_read(spark, d):
+    """The newest snapshot of a channel by its stamp, first 20 ranks."""
+    path = _stored(spark, d)
+    newest = LOG.read_catalogue(spark, path).filter(F.col("channel") == feeds.MAIN_CHANNEL).agg(F.max("created_at")).first()[0]
+    return LOG.snapshot_at(spark, path, feeds.MAIN_CHANNEL, newest, limit=20)
+
+
 @query("report_roundtrip", oracle=_with(SLOT_CHAIN, f"""
 SELECT captured_at, pos, rank AS "랭킹", brand AS "브랜드", product AS "제품명", price AS "가격",
        status_day AS "전일대비 증감", status_week AS "전주대비 증감", remark AS "비고", channel

@@ -78,7 +78,8 @@ def day(x: str) -> str:
 
 def _ranked_events(capture: str, *, slot_created: bool = False, sparse: bool = False,
                    unique_names: bool = True) -> str:
-    channel = "event_type || '-' || CAST(user_id // 5 AS VARCHAR)" if sparse else "event_type"
+    channel = ("CASE WHEN user_id % 10 = 0 THEN event_type || '-' || CAST(user_id // 50 AS VARCHAR) ELSE 'main' END"
+               if sparse else "event_type")
     created = ("max(last_ts) OVER (PARTITION BY channel, captured_at)" if slot_created
                else "captured_at")
     product = ("p.p_name || ' #' || CAST(p.p_partkey AS VARCHAR)" if unique_names else "p.p_name")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -76,8 +77,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def drop_scratch() -> None:
-    while _scratch:
+def drop_scratch(keep: int = 0) -> None:
+    while len(_scratch) > keep:
         spark, path = _scratch.pop()
         try:
             p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -86,6 +87,23 @@ def drop_scratch() -> None:
             continue
 
 
+@contextlib.contextmanager
+def staging():
+    """Tables staged inside the block are deleted at its end, when the caller has taken its results."""
+    before = len(_scratch)
+    try:
+        yield
+    finally:
+        drop_scratch(before)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables and files that ``df`` reads, as the optimizer knows them (data without files: 0)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 60)  # an unknown size is given as the largest number
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: made once, then scanned
     with pruned columns and pushed filters by every branch, and survives lost executors."""

@@ -59,17 +59,26 @@ def scan(df: DataFrame, channel: str | None = None, start=None, end=None,
     return out.select(*columns) if columns else out
 
 
+POINT_COLUMNS = ("rank", "brand", "product", "old_price", "price", "captured_at", "channel", "created_at")
+
+
 def point_scan(df: DataFrame, limit: int | None = None, group: tuple[str, ...] = ("channel", "created_at"),
-               order: tuple[str, ...] = ("rank", "id")) -> DataFrame:
+               order: tuple[str, ...] = ("rank", "id"), *, at: dt.datetime | str | None = None,
+               columns: list[str] | None = None) -> DataFrame:
     """SRC-6 / LIM-1: rows of each snapshot (``group``) in rank order, the first ``limit`` if given.
 
-    Filter ``df`` to one snapshot for a single one; the cut is a group limit, so
-    a map task forwards at most ``limit`` rows per snapshot.
+    The cut is a group limit, so a map task forwards at most ``limit`` rows per
+    snapshot.  With ``at`` it is the one snapshot with that stamp: a pushed filter
+    and a top-k read of ``columns`` (those of a baseline if not given).
     """
-    if limit is None:
-        return df
-    w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= limit).drop("_k")
+    if at is not None:
+        rows = df.filter(F.col("created_at") == ntz(at)).orderBy(*order)
+        rows = rows if limit is None else rows.limit(limit)
+        return rows.select(*(columns or POINT_COLUMNS))
+    if limit is not None:
+        w = Window.partitionBy(*group).orderBy(*order)
+        df = df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= limit).drop("_k")
+    return df.select(*columns) if columns else df
 
 
 def stamp_batch(df: DataFrame, start_id: int, created_at: dt.datetime | None = None,
