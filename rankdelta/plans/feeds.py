@@ -186,3 +186,43 @@ def purge_input(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("created_at"),
     )
 
+
+
+# Markup of a listing card, by part key modulo their number.  Names are escaped
+# ({title}, {brand}, {name}), {price} and {key} are plain.  The expected fields of
+# each are spelled out on the oracle side, not read from the markup.
+CARD_MARKUP = (
+    """<li><a href="/p/{key}">{title}</a><b data-price="$ {price}"></b></li>""",
+    """<LI CLASS="card"><A HREF='/p/{key}'>{title}</A><SPAN CLASS="big price">US$ {price}</SPAN></LI>""",
+    """<li><ul><li>new</li><li><b>sale</b></li></ul><a href=/p/{key}>{title}</a><i class='price'>€{price}</i></li>""",
+    """<li data-x="a > b <li>"><a title="{title} > x" href="/p/{key}">{title}</a><b data-price='{price}'>n/a</b></li>""",
+    """<li><a href="/p/{key}">{title}</a><span class="price">{price}</span>""",
+    """<li><a href="/p/{key}"></a><span class="price"></span><b data-price="">only {price}</b></li>""",
+    """<li><em>sold out</em></li>""",
+    """<li><a href="/p/{key}"><em>{brand}</em> - <u>{name}</u></a><p class="price"><span>$</span><span>{price}</span></p></li>""",
+    """<li><!-- <li><a>ghost</a></li> --><a href="/p/{key}">{brand} - it&#39;s {name}</a><span class="x price">&euro;{price} &#x20AC;</span></li>""",
+    """<li><a href="/p/{key}">{title}</a><span class="pricey">{price}</span></li>""",
+    """<li><b title="" data-price={price}></b><a href=/p/{key}?a=1&amp;b=2>{title}</a><s class="old-price">9{price}</s></li>""",
+    """<li><a href="/p/{key}">(50ML) {title} only 3 left</a><ol><li>1</li></ol></li>""",
+)
+CARDS_PER_PAGE = 20
+
+
+def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing pages made of parts, twenty cards each, in every markup that a card reader meets."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    title = F.concat("p_brand", F.lit(" - "), "p_name", F.lit(" &amp; "), F.col("p_partkey").cast("string"))
+    card = None
+    for k, markup in enumerate(CARD_MARKUP):
+        this = F.lit(markup)
+        for name, value in (("{title}", title), ("{brand}", F.col("p_brand")), ("{name}", F.col("p_name")),
+                            ("{price}", _dec_text("p_retailprice")), ("{key}", F.col("p_partkey").cast("string"))):
+            this = F.replace(this, F.lit(name), value)
+        when = F.col("p_partkey") % len(CARD_MARKUP) == k
+        card = F.when(when, this) if card is None else card.when(when, this)
+    page = F.floor(F.col("p_partkey") / CARDS_PER_PAGE)
+    per = p.select(page.alias("page_id"), "p_partkey", card.alias("card")).groupBy("page_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p_partkey", "card"))), lambda c: c["card"]), "\n").alias("cards"))
+    url = F.concat(F.lit("https://shop"), (F.col("page_id") % 3).cast("string"), F.lit(".example.com/en/list?page="), F.col("page_id").cast("string"))
+    html = F.concat(F.lit("<!DOCTYPE html><html><script>var t='<li>';</script><body><nav><ul></ul></nav><ul class=list>"), "cards", F.lit("</ul><p>end</p></body></html>"))
+    return per.select("page_id", url.alias("url"), html.alias("html"))

@@ -600,8 +600,8 @@ _SB, _SP = _split_named(S.clean_plain, "name")
 
 
 _PRICED_SQL = f"""
-SELECT *, coalesce(nullif(price_attr, ''), nullif(price_node, ''), nullif(raw_title, '')) AS price_text,
-       CASE WHEN price_attr <> '' THEN 'attr' WHEN price_node <> '' THEN 'inner' WHEN raw_title <> '' THEN 'text' END AS price_source
+SELECT *, coalesce(nullif(price_attr, ''), nullif(price_node, '')) AS price_text,
+       CASE WHEN price_attr <> '' THEN 'attr' WHEN price_node <> '' THEN 'inner' END AS price_source
 FROM (SELECT page_id, listing, page_no, CAST(position AS INTEGER) AS position, regexp_extract(item, 'data-price="([^"]*)"', 1) AS price_attr,
              regexp_extract(item, '(?s)class="price"[^>]*>([^<]*)<', 1) AS price_node,
              regexp_extract(item, '(?s)>([^<>]*)</a>', 1) AS raw_title FROM ({_CARDS_SQL}) t) t"""
@@ -636,6 +636,86 @@ def sentinel_rows(spark, d):
     return L.with_sentinels(feeds.table(spark, d, "pages"))
 
 
+# ---------------------------------------------------------------------------
+# Cards in every markup (SRC-1, SRC-2, FLT-4, PRJ-8, W5): the expected fields are
+# stated for each kind of card, from the part that it shows
+# ---------------------------------------------------------------------------
+_CARD_FIELDS_SQL = """
+SELECT page_id, 'shop' || CAST(page_id % 3 AS VARCHAR) || '.example.com/en' AS listing, CAST(page_id AS INTEGER) AS page_no,
+       CAST(row_number() OVER (PARTITION BY page_id ORDER BY p_partkey) AS INTEGER) AS position, p_partkey, k,
+       CASE WHEN k = 6 THEN '' WHEN k = 10 THEN '/p/' || key || '?a=1&b=2' ELSE '/p/' || key END AS href,
+       CASE WHEN k = 3 THEN title || ' > x' ELSE '' END AS title_attr,
+       CASE k WHEN 2 THEN 'sale' WHEN 3 THEN 'n/a' WHEN 5 THEN 'only ' || price ELSE '' END AS inner_text,
+       CASE WHEN k IN (5, 6) THEN '' WHEN k = 7 THEN p_brand || ' - ' || p_name WHEN k = 8 THEN p_brand || ' - it''s ' || p_name
+            WHEN k = 11 THEN '(50ML) ' || title || ' only 3 left' ELSE title END AS raw_title,
+       CASE k WHEN 0 THEN '$ ' || price WHEN 3 THEN price WHEN 10 THEN price
+              WHEN 1 THEN 'US$ ' || price WHEN 2 THEN chr(8364) || price WHEN 4 THEN price WHEN 7 THEN '$' || price
+              WHEN 8 THEN chr(8364) || price || ' ' || chr(8364) WHEN 5 THEN 'only ' || price END AS price_text,
+       CASE WHEN k IN (0, 3, 10) THEN 'attr' WHEN k IN (1, 2, 4, 7, 8) THEN 'inner' WHEN k = 5 THEN 'text' END AS price_source,
+       CASE k WHEN 10 THEN '9' || price ELSE '' END AS old_node
+FROM (SELECT p_partkey, p_partkey // 20 AS page_id, p_partkey % 12 AS k, CAST(p_partkey AS VARCHAR) AS key, p_brand, p_name,
+             p_brand || ' - ' || p_name || ' & ' || CAST(p_partkey AS VARCHAR) AS title,
+             CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS VARCHAR) AS price FROM part) p"""
+
+
+@query("card_items", oracle=f"""
+SELECT page_id, listing, page_no, position, href, title_attr, inner_text, raw_title FROM ({_CARD_FIELDS_SQL}) c""", ids=("SRC-1",))
+def card_items(spark, d):
+    """Nested lists, upper-case tags, quoted ``>``, comments and unclosed cards."""
+    return L.listing_items(feeds.card_pages(spark, d))
+
+
+@query("card_names", oracle=f"""
+SELECT page_id, position, coalesce(nullif(title_attr, ''), nullif(inner_text, ''), nullif(raw_title, ''), nullif(last, '')) AS name,
+       CASE WHEN title_attr <> '' THEN 'attr' WHEN inner_text <> '' THEN 'inner' WHEN raw_title <> '' THEN 'text' WHEN last <> '' THEN 'href' END AS name_source
+FROM (SELECT *, regexp_extract(href, '([^/?#]*)$', 1) AS last FROM ({_CARD_FIELDS_SQL}) f) c""", ids=("SRC-2",))
+def card_names(spark, d):
+    return L.with_fallback_name(L.listing_items(feeds.card_pages(spark, d))).select("page_id", "position", "name", "name_source")
+
+
+@query("card_prices", oracle=f"""
+SELECT page_id, position, price_text, price_source, {_READ_SYMBOL} AS price FROM ({_CARD_FIELDS_SQL}) p""", ids=("SRC-2", "PRC-1"))
+def card_prices(spark, d):
+    """Attribute, inner node, text of the price element; a card without one has none, whatever its title says."""
+    return L.priced_cards(feeds.card_pages(spark, d)).select("page_id", "position", "price_text", "price_source", "price")
+
+
+@query("card_ranks", oracle=f"""
+SELECT listing, rank, page_id, position, raw_title, {_LB} AS brand, {_LP} AS product FROM {_ranked_sql(_CARD_FIELDS_SQL)} r""", ids=("W1", "W5"))
+def card_ranks(spark, d):
+    """Listings of more than a hundred cards: the rest is cut."""
+    return L.rank_listing(feeds.card_pages(spark, d))
+
+
+@query("card_ranks_nonblank", oracle=f"""
+SELECT listing, rank, page_id, position, raw_title AS name
+FROM {_ranked_sql(f"SELECT * FROM ({_CARD_FIELDS_SQL}) z WHERE raw_title <> ''")} r""", ids=("FLT-4",))
+def card_ranks_nonblank(spark, d):
+    return L.rank_nonblank(feeds.card_pages(spark, d))
+
+
+@query("card_sentinels", oracle=f"""
+SELECT listing, rank, page_id, position, CASE WHEN k = 6 THEN 'N/A' ELSE {_split_named(S.clean_plain, "raw_title")[0]} END AS brand,
+       CASE WHEN k = 6 THEN 'N/A' ELSE {_split_named(S.clean_plain, "raw_title")[1]} END AS product, k = 6 AS sentinel
+FROM {_ranked_sql(_CARD_FIELDS_SQL)} r""", ids=("PRJ-8",))
+def card_sentinels(spark, d):
+    """Every twelfth card cannot be read and still takes its rank."""
+    return L.with_sentinels(feeds.card_pages(spark, d))
+
+
+@query("collect_cards", oracle=f"""
+SELECT row_number() OVER (ORDER BY channel, rank) AS id, rank, brand, product,
+       CASE WHEN old_node = '' THEN price ELSE old_node END AS old_price, price, TIMESTAMP '2024-02-01 07:30:00' AS captured_at, channel,
+       TIMESTAMP '2024-02-01 08:00:00' AS created_at
+FROM (SELECT rank, {_LB} AS brand, {_LP} AS product, listing AS channel, old_node, {_READ_SYMBOL} AS price
+      FROM {_ranked_sql(_CARD_FIELDS_SQL)} r) t""", ids=("SRC-1", "SRC-2", "SRC-8", "PRJ-6", "W5"))
+def collect_cards(spark, d):
+    """Cards to appended snapshot rows, with prices and old prices of every kind."""
+    path = scratch_path(spark, "cards")
+    LOG.append_batch(spark, L.collect_pages(feeds.card_pages(spark, d), SN.ntz(_dt.datetime(2024, 2, 1, 7, 30))), path, "cards", BATCH_STAMP)
+    return LOG.read_table(spark, path).drop("capture_date", "batch")
+
+
 # ---------------------------------------------------------------------------
 # Snapshot scans, ids, purge, time text, union (SRC-5/6/9/10, DT-1, SET-1)
 # ---------------------------------------------------------------------------

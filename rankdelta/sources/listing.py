@@ -10,16 +10,19 @@ map task forwards at most ``n`` cards per listing to the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rankdelta.functions import html as H
 from rankdelta.functions.price import price_with_symbol
 from rankdelta.functions.text import clean_title, clean_title_plain, first_non_blank, split_brand_product
 from rankdelta.operators.clean import collector_clean
 from rankdelta.schema import CRAWL_LIMIT, DIGIT
 
-ITEM_RE = r"(?s)<li(?:\s[^>]*)?>(.*?)</li>"  # a card's tag may carry attributes
-LINK_RE = r"(?s)>([^<>]*)</a>"
+CARD, LISTS = "li", ("ul", "ol")
+PRICE_ATTRIBUTE, PRICE_CLASS, OLD_PRICE_CLASS = "data-price", "price", "old-price"
 
 
 def _sequenced(pages: DataFrame, *more: str) -> DataFrame:
@@ -41,34 +44,37 @@ def page_sequence(pages: DataFrame) -> DataFrame:
 
 
 def _cards(pages: DataFrame) -> DataFrame:
-    """Every card of every page, from one scan of the pages."""
-    found = F.regexp_extract_all("html", F.lit(ITEM_RE), F.lit(1))
-    cards = _sequenced(pages, "html").select("page_id", "listing", "page_no", F.posexplode(found).alias("pos", "item"))
-    return cards.withColumn("position", (F.col("pos") + 1).cast("int")).drop("pos")
+    """Every card of every page as its tokens, from one scan of the pages."""
+    items = F.when(F.lower("html").contains(f"<{CARD}"), F.expr(H.outermost("html", CARD, LISTS)))
+    found = _sequenced(pages, "html").select("page_id", "listing", "page_no", F.posexplode(items).alias("pos", "item"))
+    return found.select("page_id", "listing", "page_no", (F.col("pos") + 1).cast("int").alias("position"),
+                        F.expr(H.tokens("item")).alias("toks"))
+
+
+def _with_fields(cards: DataFrame, attributes: dict[str, str], nodes: dict[str, Callable[[str], str]]) -> DataFrame:
+    """Adds the first non-empty value of each attribute and the text of the first tag for which each test holds."""
+    keep = [c for c in cards.columns if c != "toks"]
+    found = cards.select("toks", *keep, *[F.expr(H.first_attribute("toks", a)).alias(n) for n, a in attributes.items()],
+                         *[F.expr(H.position("toks", test)).alias(f"_{n}") for n, test in nodes.items()])
+    return found.select(*keep, *attributes, *[F.expr(H.content("toks", f"_{n}")).alias(n) for n in nodes],
+                        *[(F.col(f"_{n}") > 0).alias(f"has_{n}") for n in nodes])
 
 
-def _card_fields(item: Column) -> dict[str, Column]:
-    return {
-        "href": F.regexp_extract(item, r'href="([^"]*)"', 1),
-        "title_attr": F.regexp_extract(item, r'title="([^"]*)"', 1),
-        "inner_text": F.regexp_extract(item, r"(?s)<b>([^<]*)</b>", 1),
-        "raw_title": F.regexp_extract(item, LINK_RE, 1),
-    }
+def _is(name: str) -> Callable[[str], str]:
+    return lambda token: rf"{token} RLIKE r'(?i)^<{name}[\s/>]'"
 
 
-def _price_fields(item: Column) -> dict[str, Column]:
-    return {
-        "price_attr": F.regexp_extract(item, r'data-price="([^"]*)"', 1),
-        "price_node": F.regexp_extract(item, r'(?s)class="price"[^>]*>([^<]*)<', 1),
-        "old_node": F.regexp_extract(item, r'(?s)class="old-price"[^>]*>([^<]*)<', 1),
-        "raw_title": F.regexp_extract(item, LINK_RE, 1),
-    }
+LINK = {"raw_title": _is("a")}
 
 
 def listing_items(pages: DataFrame) -> DataFrame:
-    """SRC-1: every card of every page with its 1-based position."""
-    return _cards(pages).select("page_id", "listing", "page_no", "position",
-                                *[c.alias(n) for n, c in _card_fields(F.col("item")).items()])
+    """SRC-1: every card of every page with its 1-based position.
+
+    Cards are the outermost list items: nested lists belong to their card, and a
+    card without end tag ends where the next one or the list's end begins.
+    """
+    cards = _with_fields(_cards(pages), {"href": "href", "title_attr": "title"}, {"inner_text": _is("b")} | LINK)
+    return cards.select("page_id", "listing", "page_no", "position", "href", "title_attr", "inner_text", "raw_title")
 
 
 def with_fallback_name(items: DataFrame) -> DataFrame:
@@ -83,13 +89,14 @@ def with_fallback_name(items: DataFrame) -> DataFrame:
 
 
 def priced_cards(pages: DataFrame) -> DataFrame:
-    """Every card with its price text: the attribute, else the inner node, else the
-    card's text; ``price`` is what the symbol reader makes of it and
-    ``price_source`` tells which one answered."""
-    cards = _cards(pages)
-    f = _price_fields(F.col("item"))
-    cards = cards.select("page_id", "listing", "page_no", "position", *[c.alias(n) for n, c in f.items()])
-    sources = [("attr", "price_attr"), ("inner", "price_node"), ("text", "raw_title")]
+    """Every card with its price text: the attribute, else the inner price node, else
+    the text of the price element, else "N/A"; never the title.  ``price`` is what
+    the symbol reader makes of it and ``price_source`` tells which one answered."""
+    cards = _with_fields(_cards(pages), {"price_attr": PRICE_ATTRIBUTE}, {
+        "price_node": lambda t: H.has_class(t, PRICE_CLASS), "old_node": lambda t: H.has_class(t, OLD_PRICE_CLASS),
+        "price_own": lambda t: f"{t} ILIKE '<%{PRICE_ATTRIBUTE}%' AND {H.has_attribute(t, PRICE_ATTRIBUTE)}"} | LINK)
+    cards = cards.select("page_id", "listing", "page_no", "position", "price_attr", "price_node", "price_own", "old_node", "raw_title")
+    sources = [("attr", "price_attr"), ("inner", "price_node"), ("text", "price_own")]
     text = first_non_blank(*[F.col(c) for _, c in sources])
     source = F.coalesce(*[F.when(F.col(c) != "", F.lit(n)) for n, c in sources])
     return (cards.withColumns({"price_text": text, "price_source": source})
@@ -120,16 +127,16 @@ def rank_cards(items: DataFrame, limit: int = CRAWL_LIMIT, group: str = "listing
 
 def rank_listing(pages: DataFrame, limit: int = CRAWL_LIMIT) -> DataFrame:
     """Ranked cards with titles cleaned and split into brand and product."""
-    ranked = rank_cards(listing_items(pages), limit)
+    ranked = rank_cards(_with_fields(_cards(pages), {}, LINK), limit)
     brand, product = split_brand_product("raw_title", clean_title)
     return ranked.select("listing", "rank", "page_id", "position", "raw_title",
                          brand.alias("brand"), product.alias("product"))
 
 
 def named_cards(pages: DataFrame) -> DataFrame:
-    """Cards with their link text; ``found`` is false where a card has none to read."""
-    return _cards(pages).select("page_id", "listing", "page_no", "position", F.col("item").rlike(LINK_RE).alias("found"),
-                                F.regexp_extract("item", LINK_RE, 1).alias("name"))
+    """Cards with their link text; ``found`` is false where a card has no link to read."""
+    cards = _with_fields(_cards(pages), {}, {"name": _is("a")})
+    return cards.select("page_id", "listing", "page_no", "position", F.col("has_name").alias("found"), "name")
 
 
 def rank_nonblank(pages: DataFrame, limit: int = CRAWL_LIMIT) -> DataFrame:
