@@ -83,6 +83,15 @@ def feed_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ranked_events(spark, sf_dir, capture)
 
 
+def feed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``feed_day`` as it may be collected: text columns, and a channel ("error") with unreadable capture times."""
+    f = feed_day(spark, sf_dir)
+    at = F.date_format("captured_at", "yyyy-MM-dd HH:mm:ss")
+    broken = (F.col("channel") == "error") & (F.col("id") % 50 == 0)
+    return f.withColumns({"captured_at": F.when(broken, F.concat(F.lit("at "), at)).otherwise(at),
+                          "rank": F.col("rank").cast("string"), "id": F.col("id").cast("string")})
+
+
 def watch_brands_even() -> tuple[str, ...]:
     """Watch-list for ``feed_half``: brands with an even number, lower-cased.
 

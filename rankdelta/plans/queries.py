@@ -859,6 +859,50 @@ def purge_table_plain(spark, d):
     return SN.read_snapshots(spark, path)
 
 
+# ---------------------------------------------------------------------------
+# Channels that fail alone (SRC-12); the bucketed table (SRC-7)
+# ---------------------------------------------------------------------------
+from rankdelta.operators import isolate as IS  # noqa: E402
+from rankdelta.sources import bucket_table as BT  # noqa: E402
+
+_STATES_SQL = f"""
+SELECT n.channel, coalesce(n_rows, 0) AS n_rows, coalesce(n_bad, 0) AS n_bad, CASE WHEN n_rows IS NULL THEN 'no rows' ELSE error END AS error
+FROM (SELECT DISTINCT event_type AS channel FROM events UNION SELECT 'nobody') n LEFT JOIN (
+  SELECT channel, count(*) AS n_rows, count(*) FILTER (bad) AS n_bad,
+         arg_min('captured_at: ' || captured_at, CAST(id AS BIGINT)) FILTER (bad) AS error
+  FROM (SELECT *, starts_with(captured_at, 'at ') AS bad FROM {S.FEED_TEXT} t) r GROUP BY channel) s ON s.channel = n.channel"""
+
+
+@query("channel_errors", oracle=_STATES_SQL, ids=("SRC-12",))
+def channel_errors(spark, d):
+    """One state per expected channel: read, failed with its first message, or without rows."""
+    events = feeds.table(spark, d, "events").select(F.col("event_type").alias("channel"))
+    expected = events.unionByName(spark.range(1).select(F.lit("nobody").alias("channel")))
+    return IS.channel_states(IS.read_rows(feeds.feed_text(spark, d)), expected)
+
+
+@query("isolated_changes", oracle=_with(S.offset_chain(f"""(SELECT * FROM {S.FEED_DAY} g WHERE channel NOT IN (
+  SELECT channel FROM ({_STATES_SQL}) e WHERE error IS NOT NULL))"""), f"SELECT {ANN_DAY} FROM ad2"), ids=("SRC-12", "J1"))
+def isolated_changes(spark, d):
+    """The daily comparison of the channels that could be read, in the job that finds the others."""
+    return C.by_offset(IS.good_rows(IS.read_rows(feeds.feed_text(spark, d)))).daily()
+
+
+@query("stored_movement", oracle=_with(DAY_CHAIN, f"""
+SELECT {SNAP}, brand_key, product_key, prev_rank_day AS prev_rank, delta_day AS delta, status_day AS status FROM ad2"""), ids=("SRC-7", "J1"))
+def stored_movement(spark, d):
+    """Movement against a bucketed table of stored rows."""
+    path = scratch_path(spark, "buckets")
+    name = "rankdelta_" + path.rsplit("-", 1)[1]
+    rows = feeds.feed_day(spark, d)
+    BT.define(spark, name, path, buckets=8)
+    BT.store(spark, name, rows)
+    out = BT.against_stored(spark, name, rows)
+    out.schema  # resolved: the plan holds the files and their buckets
+    spark.sql(f"DROP TABLE {name}")  # the definition only; the files lie in the shared folder
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Reports and reads over the stored table (J6, J8, SRC-5, SRC-6, FLT-3)
 # ---------------------------------------------------------------------------

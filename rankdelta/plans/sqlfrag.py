@@ -101,6 +101,10 @@ def _ranked_events(capture: str, *, slot_created: bool = False, sparse: bool = F
 
 
 FEED_DAY = _ranked_events(day("ts"))
+FEED_TEXT = f"""(
+  SELECT CAST(id AS VARCHAR) AS id, CAST(rank AS VARCHAR) AS rank, brand, product, old_price, price, channel, created_at,
+         CASE WHEN channel = 'error' AND id % 50 = 0 THEN 'at ' ELSE '' END || strftime(captured_at, '%Y-%m-%d %H:%M:%S') AS captured_at
+  FROM {FEED_DAY} f)"""
 FEED_DAY_DUP = _ranked_events(day("ts"), unique_names=False)
 FEED_SLOT = _ranked_events(f"{day('ts')} + INTERVAL 1 HOUR * (CAST(floor(hour(ts) / 6) AS INTEGER) * 6)",
                            slot_created=True, sparse=True)
