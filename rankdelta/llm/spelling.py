@@ -131,7 +131,8 @@ def near_words(words: DataFrame, *, block: int = BLOCK, hot: int = HOT) -> DataF
     """(word, n, near, near_n): every pair of ``words`` at exactly one inserted, deleted or replaced
     code point, in both directions, once each.  ``words`` is a written table of distinct words."""
     blocks = max(1, -(-4 * words.count() // block))
-    found = dealt(words, blocks, hot, block).groupBy("gid").applyInArrow(_pairs, "word string, n long, near string, near_n long")
+    # as many parts as blocks: an explicit count is not merged, for a block is little data but much work
+    found = dealt(words, blocks, hot, block).repartition(blocks, "gid").groupBy("gid").applyInArrow(_pairs, "word string, n long, near string, near_n long")
     both = F.explode(F.array(F.struct("word", "n", "near", "near_n"),
                              F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"),
                                       F.col("word").alias("near"), F.col("n").alias("near_n"))))
