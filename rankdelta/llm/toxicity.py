@@ -33,7 +33,11 @@ FACTORS = 8
 TRAIN_ROWS = 20_000
 FOLDS = 5
 MIN_TEXTS = 3          # a term in fewer training texts has no weight,
-MIN_EVIDENCE = 3.0     # nor has one whose share differs less between the labels (standard errors)
+MIN_EVIDENCE = 3.0     # nor, alone, has one whose share differs less between the labels (standard errors)
+# Terms that are neutral alone take part in the pairs if some pair of them is not
+# neutral; all pairs of the most frequent ones are tested.
+PAIR_TERMS = 2048
+PAIR_EVIDENCE = 8.0    # of two million pairs of chance, none gets near
 STEPS, BATCH = 2500, 128
 RATE, DECAY = 0.3, 3e-5
 POSITIVE = 2.0         # weight of a text with label 1, the rarer one
@@ -101,11 +105,46 @@ def evidence(texts: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     return np.where(count[0] + count[1] >= MIN_TEXTS, np.abs(count[1] / n1 - count[0] / n0) / error, 0.0)
 
 
+def paired(texts: list[np.ndarray], labels: np.ndarray, single: np.ndarray) -> np.ndarray:
+    """Terms without evidence alone that have some in a pair: the share of texts that hold both differs
+    between the labels by more than ``PAIR_EVIDENCE`` standard errors.
+
+    The co-occurrence counts of all pairs of the ``PAIR_TERMS`` most frequent
+    such terms are two matrix products, summed over blocks of texts.
+    """
+    count = np.bincount(np.concatenate(texts or [np.empty(0, np.int32)]), minlength=BUCKETS)
+    count[single] = 0
+    own = np.sort(np.argsort(-count, kind="stable")[:PAIR_TERMS])
+    own = own[count[own] >= MIN_TEXTS]
+    known = np.zeros(BUCKETS, bool)
+    if len(own) < 2:
+        return known
+    place = np.full(BUCKETS, -1)
+    place[own] = np.arange(len(own))
+    both = np.zeros((2, len(own), len(own)))
+    for k in (0, 1):
+        mine = [t for t, y in zip(texts, labels, strict=True) if y == k]
+        for i in range(0, len(mine), 1024):
+            block = np.zeros((len(mine[i: i + 1024]), len(own)), np.float32)
+            for row, t in zip(block, mine[i: i + 1024], strict=True):
+                at = place[t]
+                row[at[at >= 0]] = 1
+            both[k] += block.T @ block
+    n0, n1 = max((labels == 0).sum(), 1), max((labels == 1).sum(), 1)
+    p = both.sum(axis=0) / (n0 + n1)
+    error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n0 + 1 / n1))
+    z = np.abs(both[1] / n1 - both[0] / n0) / error
+    np.fill_diagonal(z, 0)
+    known[own[(z >= PAIR_EVIDENCE).any(axis=1)]] = True
+    return known
+
+
 def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Machine:
     m, rng = Machine(seed), np.random.default_rng(seed)
     if not len(texts):
         return m
-    m.known = evidence(texts, labels) >= MIN_EVIDENCE
+    alone = evidence(texts, labels) >= MIN_EVIDENCE
+    m.known = alone | paired(texts, labels, alone)
     texts = [t[m.known[t]] for t in texts]
     p = min(max(labels.mean(), 1e-3), 1 - 1e-3)
     m.w0[0] = np.log(p / (1 - p))
@@ -134,7 +173,7 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Machine:
 
 # --- Spark side -----------------------------------------------------------------
 
-_EXAMPLES = pa.schema([("order", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int32()))])
+_EXAMPLES = pa.schema([("_id", pa.int64()), ("order", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int32()))])
 
 
 def _featurise(batches):
@@ -143,7 +182,7 @@ def _featurise(batches):
         found = [terms(t, memo) for t in b.column("_text").to_pylist()]
         if len(memo) > 150_000:
             memo.clear()
-        yield pa.RecordBatch.from_arrays([b.column("order"), b.column("label"), pa.array(found, pa.list_(pa.int32()))], schema=_EXAMPLES)
+        yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("order"), b.column("label"), pa.array(found, pa.list_(pa.int32()))], schema=_EXAMPLES)
 
 
 _MODEL = pa.schema([("bucket", pa.int32()), ("w", pa.float64()), ("v", pa.list_(pa.float64()))])
@@ -167,6 +206,7 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, folds:
     Learns from at most ``rows`` labelled documents, chosen by a hash of their
     ids, among those whose crc32(doc_id as text) mod ``folds`` is not 0.  A
     doc_id labelled twice is toxic if one label says so; null labels are left out.
+    Rows that repeat a doc_id are one example, with one of their texts.
     """
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
     marked = (labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("label"), fold.alias("fold"))
@@ -174,7 +214,10 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, folds:
     chosen = written(marked.withColumn("order", F.xxhash64("_id")).orderBy("order", "_id").limit(rows), "tx-sample")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("_text"))
     picked = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``rows`` ids
-    examples = picked.select("order", "label", "_text").mapInArrow(_featurise, "order long, label int, terms array<int>")
+    examples = picked.select("_id", "order", "label", "_text").mapInArrow(_featurise, "_id long, order long, label int, terms array<int>")
+    # rows that repeat an id are one example, so that ``rows`` bounds what the one task gets
+    one = F.min(F.struct(F.xxhash64("terms").alias("h"), "terms")).alias("t")
+    examples = examples.groupBy("_id", "order", "label").agg(one).select("order", "label", "t.terms")
     model = (examples.repartition(1).sortWithinPartitions("order", "label", F.hash("terms"))
              .mapInArrow(_fit, "bucket int, w double, v array<double>"))
     return [tuple(r) for r in model.collect()]

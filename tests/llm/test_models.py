@@ -178,6 +178,47 @@ def test_pairs_are_learned():
     assert right.mean() > 0.98
 
 
+def test_pairs_of_terms_that_are_neutral_alone():
+    """Labels are the exclusive-or of two terms, among others that mean nothing."""
+    r = np.random.default_rng(4)
+    memo, texts, labels = toxicity.Terms(), [], []
+    for _ in range(1500):
+        a, b = r.random() < 0.5, r.random() < 0.5
+        noise = [f"noise{k}" for k in r.choice(200, 12)]
+        texts.append(toxicity.terms(" ".join(noise + ["aaa"] * a + ["bbb"] * b).encode(), memo))
+        labels.append(int(a != b))
+    m = toxicity.fit(texts[:1000], np.array(labels[:1000]))
+    right = np.mean((m.raw(texts[1000:]) >= 0) == np.array(labels[1000:], bool))
+    assert right >= 0.95, right
+
+
+def test_machine_equals_the_plain_double_sum():
+    r = np.random.default_rng(5)
+    m = toxicity.Machine()
+    m.w0[0], m.w = 0.3, r.standard_normal(toxicity.BUCKETS)
+    m.v, m.known = r.standard_normal((toxicity.BUCKETS, toxicity.FACTORS)), r.random(toxicity.BUCKETS) < 0.7
+    texts = [np.sort(r.choice(toxicity.BUCKETS, n, replace=False)).astype(np.int32) for n in (0, 1, 2, 17, 60)]
+    for t, got in zip(texts, m.raw(texts), strict=True):
+        own = [i for i in t if m.known[i]]
+        pairs = sum(float(m.v[i] @ m.v[j]) for k, i in enumerate(own) for j in own[k + 1:])
+        want = m.w0[0] + sum(m.w[i] for i in own) + pairs / max(len(own), 1)
+        assert abs(got - want) < 1e-8
+
+
+def test_rows_that_repeat_an_id_are_one_example(spark, monkeypatch):
+    rows = [(1, f"vile text {k}") for k in range(50)] + [(k, f"kind text {k}") for k in range(2, 30)]
+    labels = spark.createDataFrame([(k, int(k == 1)) for k in range(1, 30)], "doc_id long, toxic int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.float64()), pa.array([], pa.list_(pa.float64()))], ["bucket", "w", "v"])
+    monkeypatch.setattr(toxicity, "_fit", count)
+    toxicity.train(documents(spark, rows), labels, folds=1_000_003)
+    assert 20 <= seen.value <= 29
+
+
 def test_toxicity_scores(spark):
     vocabulary = words(4, 60)
     rows, marks = [], []
