@@ -37,6 +37,7 @@ REVISIT_FROM = 1000
 RECORDS_PER_ARCHIVE = 20_000
 BYTES_PER_ARCHIVE = 512 << 20
 RANGE_BYTES = 4 << 20
+TASK_BYTES = 4 * RANGE_BYTES  # read by a task, about
 DATE = "1970-01-01T00:00:00Z"  # pages carry no capture time
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -150,8 +151,9 @@ def data_start(read_at, member: Member) -> int:
     return member.header + 30 + n_name + n_extra
 
 
-def record_ranges(read_at, length: int, most: int = RANGE_BYTES) -> Iterator[tuple[int, list[int]]]:
+def record_ranges(read_at, length: int, most: int | None = None) -> Iterator[tuple[int, list[int]]]:
     """(offset in the ZIP file, lengths of the records from there on), in runs of about ``most`` bytes."""
+    most = RANGE_BYTES if most is None else most
     members = {m.name: m for m in directory(read_at, length)}
     data, index = members[DATA], members[INDEX]
     if data.method or index.method:
@@ -252,13 +254,13 @@ def _reader_at(handle):
     return read_at
 
 
-def _list(folder: str):
+def _list(folder: str, most: int):
     def run(batches):
         system, root = pafs.FileSystem.from_uri(folder)
         for b in batches:
             for name in b.column("archive").to_pylist():
                 with system.open_input_file(f"{root}/{name}") as f:
-                    rows = [{"archive": name, "at": at, "lengths": ns} for at, ns in record_ranges(_reader_at(f), f.size())]
+                    rows = [{"archive": name, "at": at, "lengths": ns} for at, ns in record_ranges(_reader_at(f), f.size(), most)]
                 yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(
                     [("archive", pa.string()), ("at", pa.int64()), ("lengths", pa.list_(pa.int32()))]))
     return run
@@ -290,6 +292,11 @@ def _fetch(folder: str, payloads: bool):
 
 
 def read_archives(spark: SparkSession, folder: str, manifest: DataFrame, *, payloads: bool = True) -> DataFrame:
-    """One row per record of the archives in ``manifest``; byte ranges are spread over tasks."""
-    ranges = manifest.select("archive").mapInArrow(_list(folder), "archive string, at long, lengths array<int>")
-    return ranges.repartition("archive", "at").mapInArrow(_fetch(folder, payloads), RECORDS_DDL)
+    """One row per record of the archives in ``manifest``; byte ranges are spread over tasks.
+
+    The ranges are small rows for much reading, so their number of parts comes
+    from the archives' bytes; as an explicit number it is not merged later.
+    """
+    ranges = manifest.select("archive").mapInArrow(_list(folder, RANGE_BYTES), "archive string, at long, lengths array<int>")
+    parts = -(-(manifest.agg(F.sum("bytes")).first()[0] or 1) // TASK_BYTES)
+    return ranges.repartition(parts, "archive", "at").mapInArrow(_fetch(folder, payloads), RECORDS_DDL)

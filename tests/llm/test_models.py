@@ -82,6 +82,20 @@ def test_archives_round_trip(spark, monkeypatch):
     assert warc.read_archives(spark, *empty).count() == 0
 
 
+def test_many_ranges_are_read_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RANGE_BYTES", 2000)
+    monkeypatch.setattr(warc, "TASK_BYTES", 8000)
+    r = np.random.default_rng(6)
+    html = [r.integers(97, 123, 900).astype(np.uint8).tobytes().decode() for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(html)), "page_id long, html string").withColumn("url", F.lit("u")).repartition(2)
+    folder, manifest = warc.write_archives(df)
+    got = warc.read_archives(spark, folder, manifest).withColumn("part", F.spark_partition_id()).collect()
+    assert {x.page_id: bytes(x.payload).decode() for x in got} == dict(enumerate(html)) and len(got) == 120
+    assert len({x.part for x in got}) >= 6  # some 80 kB
+    starts = sorted(x["at"] for x in got if x.archive == got[0].archive)
+    assert len(starts) == len(set(starts))
+
+
 def test_record_rejects_a_changed_payload():
     raw = warc.record(1, "u", b"body", hashlib.sha1(b"body").hexdigest(), "response", None)
     assert warc.parse_record(gzip.decompress(gzip.compress(raw)))["payload"] == b"body"
