@@ -14,20 +14,30 @@ from rankdelta.llm.common import written
 from rankdelta.llm.queries import read
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, longer if ``docs`` has such a column."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorization machine scores under 0.5."""
     columns = docs.columns
-    scored = toxicity.with_scores(docs, read(spark, sf_dir, "labels"), column="_toxicity")
-    return scored.filter("_toxicity < 0.5").select(*columns)
+    score = _free(docs, "toxicity_score")
+    scored = toxicity.with_scores(docs, read(spark, sf_dir, "labels"), column=score)
+    return scored.filter(F.col(score) < 0.5).select(*columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many of them share; n_chars follows the text."""
     columns = docs.columns
-    out = lines.drop_shared_lines(docs)
+    # columns of the names that the operator gives keep their values
+    aside = {c: _free(docs, f"own_{c}") for c in ("n_lines", "n_dropped") if c in columns}
+    out = lines.drop_shared_lines(docs.withColumnsRenamed(aside))
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*columns)
+    return out.select(*[F.col(aside.get(c, c)).alias(c) for c in columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
