@@ -139,9 +139,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> Da
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN) -> DataFrame:
-    """``docs`` without the rows in which a benchmark window occurs."""
-    bad = occurrences(docs, benchmark, span).select(F.col("doc_id").alias("_dc_id"), F.col("th").alias("_dc_th")).distinct()
+    """``docs`` without the rows in which a benchmark window occurs.
+
+    All columns pass through, whatever their names; repeated rows go or stay
+    together; null and empty texts, and all rows beside an empty benchmark, stay;
+    a null doc_id is a value like others.
+    """
+    bad = occurrences(docs, benchmark, span).select(F.col("doc_id").alias("id"), "th").distinct()
     bad = fitting(bad, 2_000_000, "dc-bad")  # ids only
-    base = docs.withColumn("_dc_key", row_key(F.col("doc_id"), F.col("text")))
-    return base.join(bad, (F.col("_dc_key") == F.col("_dc_th")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_dc_id")),
-                     "left_anti").drop("_dc_key")
+    key = row_key(docs["doc_id"], docs["text"])
+    return docs.join(bad, (key == bad["th"]) & docs["doc_id"].cast("long").eqNullSafe(bad["id"]), "left_anti")

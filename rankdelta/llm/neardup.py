@@ -14,6 +14,13 @@ linked at all; the members of those are then compared on their full sets, again
 inside tasks of bounded size.  Both steps give a forest over components, never
 the pairs.  So a group of near copies costs one pair per member, and no link
 between candidates is lost.
+
+A large bucket of many components (documents made from one template, say) would
+make all its members meet.  There a second index takes its place: a set's
+shingles in order of rarity, of which two linked sets must share one among the
+first quarter (prefix filter).  A shingle's place bounds the overlap from there
+on, so rows that cannot reach similarity 0.75 with the shortest set beside them
+are dropped before any two documents meet, which needs no link to be lost.
 """
 
 from __future__ import annotations
@@ -33,6 +40,7 @@ HASHES = BANDS * ROWS
 SKETCH = 192            # minima kept, as one byte each, to verify signatures
 PASS = 0.57             # estimate that a pair must reach: 5.8 standard errors under 0.75
 BLOCK = 2048            # members of a bucket that are compared at a time
+CROWDED = 256           # members of a mixed bucket from which on rare shingles take its place
 BROADCAST_ROWS = 2_000_000
 MIX1, MIX2, POLY = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
@@ -288,6 +296,44 @@ def _cells(rows: DataFrame, block: int) -> DataFrame:
     return rows.withColumn("cell", F.explode(cell)).drop("_big", "_all", "_kb", "_ks")
 
 
+def _exploded(batches):
+    for b in batches:
+        sets = [_set(x.as_py()) for x in b.column("shingles")]
+        for i in range(0, len(sets), 256):
+            part = sets[i: i + 256]
+            n = [len(s) for s in part]
+            node, key = (np.repeat(np.array(b.column(c).slice(i, len(part))), n) for c in ("node", "set"))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(key), pa.array(np.repeat(n, n)), pa.array(np.concatenate(part).view(np.int64))],
+                                             ["node", "set", "n", "token"])
+
+
+def rare_groups(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(grp, node, component): groups in which the linked sets of ``nodes`` (node, component) meet.
+
+    Sets at similarity 0.75 overlap in at least three quarters of each, so they
+    share one of the first ``n - ceil(3n/4) + 1`` shingles in any common order;
+    here it is the order of rarity among ``nodes``.  If x has that shingle at place
+    i of n, the overlap is at most u = n - i, and 7 * min(ux, uy) >= 3 * (nx + ny)
+    has to hold: a row for which no length in its group is short enough goes.
+    Shingles of one node are counted, not moved.
+    """
+    # a doc_id may have several texts, each a set of its own
+    sets = full_sets(nodes.select("node"), docs).distinct().withColumn("set", F.xxhash64("shingles"))
+    tokens = written(sets.mapInArrow(_exploded, "node long, set long, n long, token long"), "nd-tokens")
+    df = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    shared = tokens.join(df.filter("df > 1"), "token")
+    per = shared.groupBy("node", "set", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
+    alone = F.col("n") - F.size("order")  # they come first
+    prefix = F.floor(F.col("n") / 4).cast("long") + 1
+    first = F.slice("order", 1, F.greatest(prefix - alone, F.lit(0)).cast("int"))
+    rows = per.select("node", "n", alone.alias("alone"), F.posexplode(first).alias("i", "t"))
+    rows = rows.select("node", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("u"), F.col("t.token").alias("grp"))
+    rows = written(rows.join(nodes, "node"), "nd-prefixes")
+    group = rows.groupBy("grp").agg(F.min("n").alias("least"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    kept = rows.join(group.select("grp", "least"), "grp").filter("7 * u >= 3 * (n + least)")
+    return kept.select("grp", "node", "component")
+
+
 def _dealt(cells: DataFrame) -> DataFrame:
     return cells.repartition("grp", "cell").sortWithinPartitions("grp", "cell", "node")
 
@@ -332,8 +378,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # buckets that still hold several components: which components can be linked at all?
     labelled = shared.select(F.col("bucket").alias("grp"), "node").join(marks, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("grp")
-    open_ = written(labelled.join(mixed, "grp", "left_semi"), "nd-open")
+    mixed = (labelled.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .filter("lo < hi").select("grp", "size"))
+    open_ = written(labelled.join(mixed, "grp"), "nd-open")
+    crowd = open_.filter(F.col("size") > CROWDED).select("node", "component").distinct()
+    open_ = open_.filter(F.col("size") <= CROWDED).select("grp", "node", "component")
+    if crowd.take(1):
+        open_ = written(open_.unionByName(rare_groups(written(crowd, "nd-crowd"), docs)), "nd-open")
     some_open = open_.select("node").distinct().join(one.withColumnRenamed("doc_id", "node"), "node")
     likely = (_dealt(_cells(open_.join(some_open, "node"), BLOCK)).mapInArrow(_compare(False), "a long, b long"))
     clusters = components(likely)
@@ -364,7 +415,12 @@ def _apart(pairs: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates (the smallest doc_id)."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_nd_id")).distinct()
+    """``docs`` with one document of each group of near duplicates (the smallest doc_id).
+
+    Rows that repeat a doc_id go or stay together; rows without doc_id, and texts
+    without words, stay; an empty table gives no rows.  All columns pass through,
+    whatever their names.
+    """
+    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("id")).distinct()
     gone = fitting(gone, BROADCAST_ROWS, "nd-gone")
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_nd_id"], "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["id"], "left_anti")

@@ -92,3 +92,17 @@ def test_run_and_empty_documents(spark, corpus):
     empty = spark.createDataFrame([], DOCS)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, corpus).count() == 0
+
+
+def test_columns_of_the_stages_own_names_pass_through(spark, sf_dir):
+    """No stage but the last changes a column that it does not mean to."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    names = ("n_lines", "n_dropped", "toxicity_score", "_toxicity", "_dc_key", "id", "th", "own_n_lines", "component_id", "kept")
+    for i, c in enumerate(names):
+        docs = docs.withColumn(c, F.col("doc_id") * 10 + i)
+    docs = written(docs, "clash")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert [r[c] for c in names] == [r.doc_id * 10 + i for i in range(len(names))], name

@@ -203,3 +203,41 @@ def test_suffix_sort_survives_collisions(monkeypatch):
             x, y = parts[order[i - 1]], parts[order[i]]
             n = next((k for k, (a, b) in enumerate(zip(x, y, strict=False)) if a != b), min(len(x), len(y)))
             assert common[i] == (n if group[order[i - 1]] == group[order[i]] else -1)
+
+
+# --- documents made from one template ----------------------------------------------
+
+def template_rows(n, shared=72, own=28, seed=8, fields=None):
+    """Documents of ``shared`` common words with ``own`` words of their own at fixed places."""
+    import random
+    r = random.Random(seed)
+    base, places = words(seed, shared + own), sorted(r.sample(range(shared + own), own))
+    out = []
+    for i in range(n):
+        w = list(base)
+        for p in (places if fields is None else places[:fields(i)]):
+            w[p] = f"own{i}x{p}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("crowded", [4, 10_000])
+def test_templates_lose_no_link(spark, monkeypatch, crowded):
+    """Families around the limit: some members are linked, most are not."""
+    monkeypatch.setattr(neardup, "CROWDED", crowded)
+    rows = template_rows(60, own=10, fields=lambda i: i % 7 + 1) + [(100 + i, t) for i, t in template_rows(40, seed=9, own=6)]
+    rows += [(200 + i, t) for i, t in template_rows(60, seed=10)] + [(300, rows[3][1]), (301, rows[3][1] + " tail"), (301, "other words " * 9)]
+    got = neardup.near_duplicates(documents(spark, rows)).collect()
+    want, _ = brute_components([r for r in rows if r[0] != 301])
+    assert {r.doc_id: r.component_id for r in got if r.doc_id < 301} == want
+    assert len(set(want.values())) > 60
+
+
+def test_rare_groups_are_few_for_a_template(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "CROWDED", 16)
+    rows = template_rows(300)
+    docs = documents(spark, rows)
+    nodes = docs.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
+    assert neardup.rare_groups(nodes, docs).count() == 0  # similarity 0.5: no two of them meet
+    close = documents(spark, template_rows(300, shared=200, own=1))
+    assert neardup.rare_groups(nodes, close).select("node").distinct().count() == 300
