@@ -50,3 +50,13 @@ def price_amount(c) -> Column:
 def price_first_number(c) -> Column:
     """Reader 3: the first ``digits[.digits]``; "" when there is none."""
     return F.coalesce(F.regexp_extract(_col(c), rf"{DIGIT}+(?:\.{DIGIT}+)?", 0), F.lit(""))
+
+
+def price_pair(sale, original) -> dict[str, Column]:
+    """PRC-3 for a row: sale and original price by reader 3; unless both can be read, both are blank.
+
+    Gives ``price``, ``old_price`` and ``blanked``.
+    """
+    a, b = price_first_number(sale), price_first_number(original)
+    missing = (a == "") | (b == "")
+    return {"price": F.when(missing, F.lit("")).otherwise(a), "old_price": F.when(missing, F.lit("")).otherwise(b), "blanked": missing}

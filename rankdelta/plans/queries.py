@@ -505,10 +505,7 @@ def price_first_number(spark, d):
                 .when(k == 1, F.concat(F.lit("was "), (F.col("item_id") % 50).cast("string")))
                 .when(k == 2, F.lit("sold out"))
                 .otherwise(F.concat(iid, F.lit(".5"))))
-    sale, orig = P.price_first_number("price_text"), P.price_first_number(old_text)
-    miss = (sale == "") | (orig == "")
-    return p.select("item_id", F.when(miss, F.lit("")).otherwise(sale).alias("price"),
-                    F.when(miss, F.lit("")).otherwise(orig).alias("old_price"), miss.alias("blanked"))
+    return p.select("item_id", *[c.alias(n) for n, c in P.price_pair("price_text", old_text).items()])
 
 
 # ---------------------------------------------------------------------------

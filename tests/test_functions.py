@@ -71,6 +71,12 @@ def test_price_first_number(spark, raw, want):
     assert one(spark, P.price_first_number, raw) == want
 
 
+def test_price_pair_is_blank_unless_both_can_be_read(spark):
+    df = spark.createDataFrame([("$5.50", "was 7"), ("5", "sold out"), (None, "7"), ("", "")], "a string, b string")
+    got = [tuple(r) for r in df.select(*[c.alias(n) for n, c in P.price_pair("a", "b").items()]).collect()]
+    assert got == [("5.50", "7", False), ("", "", True), ("", "", True), ("", "", True)]
+
+
 def test_default_old_price(spark):
     rows = [(1, None, "9"), (2, "", "9"), (3, " ", "9"), (4, "N/A", "9"), (5, "12", "9")]
     df = spark.createDataFrame(rows, "id int, old_price string, price string")

@@ -104,3 +104,27 @@ def test_invariants_on_feed(spark, sf_dir):
     hl = R.highlights(daily, ReportParams())
     per = hl.groupBy(*C.REPORT_KEY).agg(F.count("*").alias("n"), F.countDistinct("brand", "product").alias("u"))
     assert per.filter("n > 7 OR n <> u").count() == 0
+
+
+def test_a_report_takes_one_exchange_of_the_rows(spark, sf_dir):
+    """Comparison, cut, counts, highlights, chart-outs and digest: the rows are shuffled once, by report."""
+    from rankdelta.session import staged
+    cs = C.by_offset(staged(feeds.feed_day(spark, sf_dir), "rows"))
+    built = {"daily": cs.daily(), "weekly": cs.weekly(), "chart_outs": cs.chart_outs(), "digest": R.digest(cs.compared()),
+             "top": R.top_n(cs.weekly()), "counts": R.movement_counts(cs.daily()), "highlights": R.highlights(cs.daily()),
+             "gone": R.chart_out_counts(cs.chart_outs()), "best gone": R.chart_out_top(cs.chart_outs())}
+    for name, df in built.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, name
+
+
+def test_rows_that_cannot_be_compared_prove_their_report(spark):
+    """A snapshot of unreadable rows only is a report: all of its baseline left the chart."""
+    a, b = T(2024, 1, 1), T(2024, 1, 2)
+    rows = [(1, 1, "a", "x", a, "c", a), (2, None, "a", "x", b, "c", b), (3, 2, "a", None, b, "c", b), (4, 5, "a", "y", None, "c", None)]
+    cs = C.by_offset(snap(spark, rows))
+    assert [(r.captured_at, r.prev_rank_day) for r in cs.chart_outs().collect()] == [(b, 1)]
+    assert sorted((r.id, r.status_day, r.status_week) for r in cs.weekly().collect()) == [(1, "신규", "-"), (4, "신규", "-")]
+    text = {r.captured_at: r.digest for r in R.digest(cs.compared()).collect()}
+    assert text[b].split("\n")[3:] == ["차트 아웃 1개", "  #1 a - x"] and "[c]" in text[a]
+    assert sorted(str(r.captured_at) for r in cs.reports.collect()) == sorted(map(str, (a, b, None)))
