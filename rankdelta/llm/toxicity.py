@@ -121,7 +121,7 @@ def paired(texts: list[np.ndarray], labels: np.ndarray, single: np.ndarray) -> n
         return known
     place = np.full(BUCKETS, -1)
     place[own] = np.arange(len(own))
-    both = np.zeros((2, len(own), len(own)))
+    both = np.zeros((2, len(own), len(own)), np.float32)  # counts of at most some thousand texts are exact
     for k in (0, 1):
         mine = [t for t, y in zip(texts, labels, strict=True) if y == k]
         for i in range(0, len(mine), 1024):
@@ -131,11 +131,12 @@ def paired(texts: list[np.ndarray], labels: np.ndarray, single: np.ndarray) -> n
                 row[at[at >= 0]] = 1
             both[k] += block.T @ block
     n0, n1 = max((labels == 0).sum(), 1), max((labels == 1).sum(), 1)
-    p = both.sum(axis=0) / (n0 + n1)
-    error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n0 + 1 / n1))
-    z = np.abs(both[1] / n1 - both[0] / n0) / error
-    np.fill_diagonal(z, 0)
-    known[own[(z >= PAIR_EVIDENCE).any(axis=1)]] = True
+    for i in range(len(own)):  # a row of pairs at a time
+        p = (both[0, i] + both[1, i]) / (n0 + n1)
+        error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n0 + 1 / n1))
+        z = np.abs(both[1, i] / n1 - both[0, i] / n0) / error
+        z[i] = 0
+        known[own[i]] = (z >= PAIR_EVIDENCE).any()
     return known
 
 
@@ -191,7 +192,9 @@ _MODEL = pa.schema([("bucket", pa.int32()), ("w", pa.float64()), ("v", pa.list_(
 def _fit(batches):
     texts, labels = [], []
     for b in batches:
-        texts += [np.array(t, np.int32) for t in b.column("terms").to_pylist()]
+        found = b.column("terms")
+        ids, ends = found.flatten().to_numpy().astype(np.int32), np.cumsum(found.value_lengths().to_numpy())
+        texts += np.split(ids, ends[:-1]) if len(ends) else []
         labels += b.column("label").to_pylist()
     m = fit(texts, np.array(labels, float))
     known = np.flatnonzero(m.known)
