@@ -3,8 +3,8 @@
 Which snapshots a report compares is resolved on the table's catalogue, which
 the append log keeps beside the data.  The picks then meet the partitioned table
 in one equi-join that carries the partition columns: Spark turns their values
-into a dynamic partition filter, so only the (channel, day) folders that some
-report uses are opened.
+into a dynamic partition filter, so only the folders of days that some report
+uses are opened.
 """
 
 from __future__ import annotations

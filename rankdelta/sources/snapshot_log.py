@@ -2,13 +2,15 @@
 
 Layout below the table's path::
 
-    data/batch=<attempt>/channel=<c>/capture_date=<d>/part-*.parquet
+    data/batch=<attempt>/capture_date=<d>/part-*.parquet
     catalogue/batch=<attempt>/part-*.parquet
     log/<version>.json
 
 Every append writes its rows and a catalogue of its snapshots (one row per
 channel, capture time and stamp) into folders of its own, and then commits them
-with one log entry: batch name, folder, first and last id, number of rows.  The
+with one log entry: batch name, folder, first and last id, number of rows.  Days
+are folders; a day's rows lie in the order of their channels, so the number of files
+grows with days and bytes, not with channels, and Parquet's statistics find a channel.  The
 entry's file is created only if that version is not there yet, so of two writers
 one wins and the other takes new ids and the next version.  Readers take the
 folders that the log names; what a lost attempt left is never read, and a batch
@@ -34,11 +36,13 @@ from pyspark.sql import types as T
 from rankdelta.schema import PURGE_KEYS, SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
 from rankdelta.sources.snapshots import ntz, point_scan, purge_duplicates, stamp_batch
 
-PARTITION_COLS = ("channel", "capture_date")
+PARTITION_COLS = ("capture_date",)
+DAY_KEY = ("channel", "capture_date")  # what a purge compares: the channel's day
 # ``stamp_us`` is ``created_at`` as microseconds since 1970: Parquet skips row groups
 # by the statistics of integers, but Spark pushes no filter on zone-less timestamps.
 DATA_SCHEMA = T.StructType([*SNAPSHOT_SCHEMA.fields, T.StructField("stamp_us", T.LongType()),
                             T.StructField("capture_date", T.DateType()), T.StructField("batch", T.StringType())])
+LAID_BY = ("capture_date", "channel", "created_at", "rank", "id")
 EPOCH = dt.datetime(1970, 1, 1)
 CATALOGUE_SCHEMA = T.StructType([
     T.StructField("channel", T.StringType()), T.StructField("capture_date", T.DateType()),
@@ -141,12 +145,13 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
 def _write(spark: SparkSession, path: str, folder: str, rows: DataFrame) -> tuple[int, int, int]:
     """Rows and their catalogue into folders of their own: (rows, first id, last id).
 
-    Rows are sorted by stamp and rank inside a partition, so that Parquet's
-    statistics let a point read skip the rest.
+    Rows are dealt to tasks by ranges of (day, channel, stamp, rank): a task writes the
+    files of few days, however many channels there are, and a day with most of the rows is
+    split.  Inside a file the same order lets Parquet's statistics skip the rest.
     """
     data = rows.select(*SNAPSHOT_COLUMNS, F.timestamp_diff("MICROSECOND", ntz(EPOCH), F.col("created_at")).alias("stamp_us"),
                        F.to_date("captured_at").alias("capture_date"))
-    data = data.sortWithinPartitions(*PARTITION_COLS, "created_at", "rank", "id")
+    data = data.repartitionByRange(*LAID_BY).sortWithinPartitions(*LAID_BY)
     data.write.partitionBy(*PARTITION_COLS).parquet(f"{path}/data/batch={folder}")
     back = _read(spark, path, "data", DATA_SCHEMA, [folder])
     back.groupBy("channel", "capture_date", "captured_at", "created_at").agg(F.count(F.lit(1)).alias("n_rows")) \
@@ -197,19 +202,19 @@ def append_batch(spark: SparkSession, df: DataFrame, path: str, name: str | None
 def purge_batch(spark: SparkSession, path: str, name: str) -> Entry:
     """SRC-10 for one batch: it loses the rows whose key an earlier batch or an earlier row of it has.
 
-    Only the (channel, day) partitions that the batch touches are read of the
-    earlier batches, found from its catalogue and pruned before any file is
-    opened; only the batch itself is written again.
+    Only the days that the batch touches are read of the earlier batches, found
+    from its catalogue and pruned before any file is opened; only the batch itself
+    is written again.
     """
     state = committed(entries(spark, path))
     mine = state[name]
     earlier = [n for n, e in state.items() if e.first_id < mine.first_id]
     new = purge_duplicates(read_table(spark, path, [name]))
     if earlier:
-        days = _read(spark, path, "catalogue", CATALOGUE_SCHEMA, [mine.folder]).filter("n_rows > 0").select(*PARTITION_COLS).distinct()
-        days = days.withColumnsRenamed({c: f"_{c}" for c in PARTITION_COLS})
+        days = _read(spark, path, "catalogue", CATALOGUE_SCHEMA, [mine.folder]).filter("n_rows > 0").select(*DAY_KEY).distinct()
+        days = days.withColumnsRenamed({c: f"_{c}" for c in DAY_KEY})
         old = read_table(spark, path, earlier)
-        same_day = [old[c].eqNullSafe(days[f"_{c}"]) for c in PARTITION_COLS]
+        same_day = [old[c].eqNullSafe(days[f"_{c}"]) for c in DAY_KEY]
         old = old.join(days, same_day, "left_semi").select(*[F.col(k).alias(f"_{k}") for k in PURGE_KEYS])
         new = new.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in PURGE_KEYS], "left_anti")
     for _ in range(RETRIES):
@@ -243,8 +248,8 @@ def snapshot_at(spark: SparkSession, path: str, channel: str, at: dt.datetime |
                 limit: int | None = None) -> DataFrame:
     """SRC-6: the rows that ``channel`` stored with the stamp ``at``, by rank, the first ``limit`` if given.
 
-    The catalogue names the days to open; inside their files the stamp is a
-    pushed filter that skips row groups, and the order is a top-k read.
+    The catalogue names the days to open; inside their files channel and stamp are
+    pushed filters that skip row groups, and the order is a top-k read.
     """
     at = dt.datetime.fromisoformat(at) if isinstance(at, str) else at
     days = read_catalogue(spark, path).filter((F.col("channel") == channel) & (F.col("created_at") == ntz(at)))

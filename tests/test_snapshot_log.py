@@ -173,3 +173,18 @@ def test_staged_tables_can_be_released(spark, history):
         assert any("stored-picks" in n for n in set(os.listdir(folder)) - before)
     assert set(os.listdir(folder)) == before
     assert LOG.read_table(spark, history).count() == 280
+
+
+def test_files_do_not_grow_with_the_channels(spark, path):
+    """Days are folders; 600 channels of a day share its files, and '' stays apart from NULL."""
+    rows = spark.range(2400).select(
+        "id", F.lit(1).alias("rank"), F.lit("b").alias("brand"), F.lit("p").alias("product"), F.lit("1").alias("old_price"), F.lit("1").alias("price"),
+        (F.lit(T(2024, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(days=(F.col("id") % 4).cast("int"))).alias("captured_at"),
+        F.when(F.col("id") == 8, "").when(F.col("id") != 9, F.concat(F.lit("c/"), (F.col("id") / 4).cast("int").cast("string"))).alias("channel"))
+    LOG.append_batch(spark, rows.withColumn("created_at", F.col("captured_at")), path, "a", keep_stamps=True)
+    files = [n for _, _, names in os.walk(local(f"{path}/data")) for n in names if n.endswith(".parquet")]
+    assert len(files) <= 4 + 8  # a file per day, and one more per task
+    back = LOG.read_table(spark, path)
+    assert back.filter("channel = ''").count() == 1 and back.filter("channel is null").count() == 1
+    assert back.select("channel").distinct().count() == 602 and back.count() == 2400
+    assert [r.captured_at for r in LOG.snapshot_at(spark, path, "c/7", T(2024, 1, 3)).collect()] == [T(2024, 1, 3)]
