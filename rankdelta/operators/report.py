@@ -147,7 +147,7 @@ def pick_labels(pairs: DataFrame) -> DataFrame:
 
 
 def digest(compared: DataFrame, p: ReportParams = ReportParams()) -> DataFrame:
-    """FMT-5: one text digest per report, from the compared rows of a change set.
+    """FMT-5: one text digest per report, from the compared or charted rows of a change set.
 
     Lines: day/week baseline labels (or "no data"), a blank, the movement
     count line, highlight lines plus a blank, then the chart-out block.  The rows
