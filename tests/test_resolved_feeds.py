@@ -24,6 +24,7 @@ def tables(spark, visits):
 # rows of each small channel and of the large one: 20 users, two days; every fifth is gone on the second day
 WHOLE = {
     "baseline_nearest": (1, 1),
+    "baseline_asof": (4, 4),
 }
 
 
