@@ -25,6 +25,7 @@ def tables(spark, visits):
 WHOLE = {
     "baseline_nearest": (1, 1),
     "baseline_asof": (4, 4),
+    "baseline_resolve": (4, 4),
 }
 
 
