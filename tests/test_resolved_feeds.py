@@ -26,6 +26,7 @@ WHOLE = {
     "baseline_nearest": (1, 1),
     "baseline_asof": (4, 4),
     "baseline_resolve": (4, 4),
+    "rank_report": (9, 32),
 }
 
 
