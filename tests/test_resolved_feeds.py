@@ -27,6 +27,7 @@ WHOLE = {
     "baseline_asof": (4, 4),
     "baseline_resolve": (4, 4),
     "rank_report": (9, 32),
+    "report_at": (4, 14),
 }
 
 
