@@ -28,6 +28,7 @@ WHOLE = {
     "baseline_resolve": (4, 4),
     "rank_report": (9, 32),
     "report_at": (4, 14),
+    "rank_report_chart_out": (1, 4),
 }
 
 
