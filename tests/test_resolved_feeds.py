@@ -29,6 +29,7 @@ WHOLE = {
     "rank_report": (9, 32),
     "report_at": (4, 14),
     "rank_report_chart_out": (1, 4),
+    "report_top_n": (9, 32),
 }
 
 
