@@ -30,6 +30,7 @@ WHOLE = {
     "report_at": (4, 14),
     "rank_report_chart_out": (1, 4),
     "report_top_n": (9, 32),
+    "baseline_labels": (4, 4),
 }
 
 
