@@ -48,7 +48,7 @@ def test_small_channels_and_the_large_one_are_whole(spark, two_days, name):
     assert {r["channel"]: r["count"] for r in rows.groupBy("channel").count().collect()} == {f"click-{c}": small for c in range(4)} | {"main": large}
 
 
-STORED = ("point_read", "report_from_table")
+STORED = ("point_read", "report_from_table", "report_from_table_at")
 
 
 @pytest.mark.parametrize("name", STORED)
